@@ -17,25 +17,31 @@ class HashingEmbedder:
     The first eight hex digits of a token's MD5 choose the dimension, the ninth the sign.
     """
 
+    #: Tokens whose slot is remembered at a time.
+    CACHED = 1 << 20
+
     def __init__(self, dim: int = 64):
         self.dim = dim
+        self._slots: dict[str, int] = {}
+
+    def __getstate__(self):
+        return {"dim": self.dim, "_slots": {}}
 
     def _slot(self, token: str) -> int:
         digest = hashlib.md5(token.encode()).hexdigest()
         dimension = int(digest[:8], 16) % self.dim
-        return dimension if int(digest[8], 16) % 2 == 0 else dimension + self.dim
+        slot = dimension if int(digest[8], 16) % 2 == 0 else dimension + self.dim
+        if len(self._slots) >= self.CACHED:
+            self._slots.clear()
+        self._slots[token] = slot
+        return slot
 
     def __call__(self, texts: Sequence[str]) -> np.ndarray:
         out = np.zeros((len(texts), self.dim), dtype="float32")
-        known: dict[str, int] = {}
+        known = self._slots
         for row, text in enumerate(texts):
-            tokens = text.split()
-            slots = np.fromiter(
-                (known[t] if t in known else known.setdefault(t, self._slot(t)) for t in tokens),
-                dtype=np.int64,
-                count=len(tokens),
-            )
-            signed = np.bincount(slots, minlength=2 * self.dim)
+            slots = [known[t] if t in known else self._slot(t) for t in text.split()]
+            signed = np.bincount(np.array(slots, dtype="int64"), minlength=2 * self.dim)
             out[row] = signed[: self.dim] - signed[self.dim :]
         return out
 

@@ -6,8 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
-#: Unicode white space as the corpus counts it: Java's (?U)\s plus U+001C..U+001F.
-WHITESPACE = r"[\s\x1c-\x1f]"
+#: White space as the corpus counts it: U+0009..U+000D, U+001C..U+0020, U+0085, U+00A0, U+1680,
+#: U+2000..U+200A, U+2028, U+2029, U+202F, U+205F and U+3000.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 #: Concept every work must carry to enter the corpus unless another one is asked for.
 DEFAULT_CONCEPT = "C71924100"
 #: Text modes of :func:`build_text`.
@@ -32,29 +37,29 @@ def non_empty(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Remove white space from both ends."""
-    return F.regexp_replace(
-        c, f"(?U)^{WHITESPACE}++|(?<!{WHITESPACE}){WHITESPACE}++$", ""
-    )
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def squeeze(c: Column) -> Column:
     """Turn each run of white space into one space and strip the ends."""
-    return F.trim(F.regexp_replace(c, f"(?U){WHITESPACE}++", " "))
+    return F.trim(F.regexp_replace(c, f"[{WHITESPACE}]++", " "))
 
 
 def placed_tokens(index: Column) -> Column:
-    """``array<struct<p,i,k>>`` in position order: token ``k`` of map entry ``i`` at ``p >= 0``."""
-    return F.sort_array(
-        F.flatten(
-            F.transform(
-                F.map_entries(index),
-                lambda e, i: F.transform(
-                    F.filter(F.coalesce(e["value"], F.array().cast("array<int>")), lambda p: p >= 0),
-                    lambda p: F.struct(p.alias("p"), i.alias("i"), e["key"].alias("k")),
-                ),
-            )
+    """Sorted ``array<bigint>``: position in the upper half, number of the map entry in the lower.
+
+    Plain numbers sort without comparing structs. Negative positions are left out.
+    """
+
+    def place(positions, entry):
+        kept = F.filter(
+            F.coalesce(positions, F.array().cast("array<int>")), lambda p: p.isNotNull() & (p >= 0)
+        )
+        return F.transform(
+            kept, lambda p: F.shiftleft(p.cast("bigint"), 32).bitwiseOR(entry.cast("bigint"))
         )
-    )
+
+    return F.sort_array(F.flatten(F.transform(F.map_values(index), place)))
 
 
 def reconstruct_abstract(index: Column) -> Column:
@@ -63,18 +68,21 @@ def reconstruct_abstract(index: Column) -> Column:
     Where tokens share a position the one latest in map order holds it, even when it is
     the empty token; gaps are skipped and white space is squeezed.
     """
-    kept = let(
-        placed_tokens(index),
-        lambda slots: F.filter(
-            slots,
-            lambda s, j: (s["k"] != "")
-            & (
-                (j == F.size(slots) - 1)
-                | (F.try_element_at(slots, j + 2)["p"] != s["p"])
-            ),
-        ),
-    )
-    return non_empty(squeeze(F.array_join(F.transform(kept, lambda s: s["k"]), " ")))
+
+    def is_last(slots, slot, j):
+        following = F.get(slots, j + 1)
+        return following.isNull() | (F.shiftright(following, 32) != F.shiftright(slot, 32))
+
+    def tokens(source):
+        keys, slots = source["keys"], source["slots"]
+        kept = F.filter(slots, lambda slot, j: is_last(slots, slot, j))
+        placed = F.transform(
+            kept, lambda slot: F.get(keys, slot.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+        )
+        return F.array_join(F.filter(placed, lambda token: token != ""), " ")
+
+    source = F.struct(F.map_keys(index).alias("keys"), placed_tokens(index).alias("slots"))
+    return non_empty(squeeze(let(source, tokens)))
 
 
 def max_position(index: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.functions import text as X
+from quire.operators.columns import with_once
 
 #: Reader options that reject what a strict JSON parser rejects.
 _JSON = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
@@ -55,8 +56,11 @@ def read_lines(
     ]
     if not streaming:
         columns.append(F.monotonically_increasing_id().alias("line"))
-    lines = raw.select(*columns)
-    return lines.withColumn("value", X.strip(F.col("value"))).where(F.col("value") != "")
+    return _non_blank(raw.select(*columns))
+
+
+def _non_blank(lines: DataFrame) -> DataFrame:
+    return with_once(lines, "value", X.strip(F.col("value"))).where(F.col("value") != "")
 
 
 def is_json_object(value: Column) -> Column:
@@ -85,10 +89,9 @@ def parse_works(lines: DataFrame, schema=schemas.RAW_WORK) -> DataFrame:
     """
     typed = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in schema)}, _corrupt_record string"
     value = F.col("value")
-    parsed = lines.withColumn("w", F.from_json(value, typed, _JSON)).where(
-        F.startswith(value, F.lit("{"))
-        & F.endswith(value, F.lit("}"))
-        & (F.col("w._corrupt_record").isNull() | is_json_object(value))
+    framed = lines.where(F.startswith(value, F.lit("{")) & F.endswith(value, F.lit("}")))
+    parsed = with_once(framed, "w", F.from_json(value, typed, _JSON)).where(
+        F.col("w._corrupt_record").isNull() | is_json_object(value)
     )
     fields = [F.col(f"w.{f.name}").alias(f.name) for f in schema]
     kept = [c for c in lines.columns if c != "value"]
@@ -131,10 +134,8 @@ def read_works_since(spark: SparkSession, root: str, first: str, last: str) -> D
             "updated_date",
             F.make_valid_utf8(F.col("value")).alias("value"),
         )
-        .withColumn("value", X.strip(F.col("value")))
-        .where(F.col("value") != "")
     )
-    return parse_works(lines)
+    return parse_works(_non_blank(lines))
 
 
 def map_works(works: DataFrame, concept_id: str | None = X.DEFAULT_CONCEPT) -> DataFrame:
@@ -145,7 +146,8 @@ def map_works(works: DataFrame, concept_id: str | None = X.DEFAULT_CONCEPT) -> D
     if concept_id is not None:
         works = works.where(X.has_concept(F.col("concepts"), concept_id))
     raw = {f.name for f in schemas.RAW_WORK}
-    return works.select(
+    abstract = X.reconstruct_abstract(F.col("abstract_inverted_index"))
+    return with_once(works, "abstract", abstract).select(
         *[c for c in works.columns if c not in raw],
         "id",
         "doi",
@@ -153,13 +155,13 @@ def map_works(works: DataFrame, concept_id: str | None = X.DEFAULT_CONCEPT) -> D
         "language",
         "publication_year",
         "type",
-        X.reconstruct_abstract(F.col("abstract_inverted_index")).alias("abstract"),
+        "abstract",
     )
 
 
 def with_text(mapped: DataFrame, mode: str = "title_abstract", skip_no_text: bool = True) -> DataFrame:
     """Add ``text``; works without any are dropped, or kept with an empty text."""
-    out = mapped.withColumn("text", X.build_text(F.col("title"), F.col("abstract"), mode))
+    out = with_once(mapped, "text", X.build_text(F.col("title"), F.col("abstract"), mode))
     if skip_no_text:
         return out.where(F.col("text").isNotNull())
     return out.withColumn("text", F.coalesce("text", F.lit("")))

@@ -51,7 +51,8 @@ def _index(tokens_of: DataFrame) -> DataFrame:
 
 
 def _write_works(spark: SparkSession, sf_dir: str, path: str) -> None:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    # Partitioned as the index is built and joined, so the documents move once.
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source").repartition("doc_id")
     d = F.col("doc_id")
     ident = F.concat(F.lit(BASE + "W"), d.cast("string"))
 
@@ -126,7 +127,9 @@ def _write_snapshot(spark: SparkSession, sf_dir: str, path: str) -> None:
         (d % 17 == 6, F.lit(" \t ")),
         (d % 17 == 7, F.lit("123")),
     )
-    lines = rows.select("updated_date", F.explode(F.array_compact(F.array(record, junk))).alias("value"))
+    # Ranging by date and document gives few files per date and splits a date that has most rows.
+    placed = rows.repartitionByRange("updated_date", "doc_id")
+    lines = placed.select("updated_date", F.explode(F.array_compact(F.array(record, junk))).alias("value"))
     lines.write.partitionBy("updated_date").option("compression", "gzip").text(path)
 
 

@@ -228,7 +228,8 @@ texts AS (
   UNION ALL SELECT 'q' || query_id, query FROM queries
 ),
 {sql_hashed('texts', 'key')},
-unit AS (SELECT key, d, x / sqrt(sum(x * x) OVER (PARTITION BY key)) AS x FROM slots WHERE x <> 0),
+unit AS (SELECT key, d, CAST(CAST(x / sqrt(sum(x * x) OVER (PARTITION BY key)) AS FLOAT) AS DOUBLE) AS x
+  FROM slots WHERE x <> 0),
 scored AS (
   SELECT q.query_id, t.id, coalesce(sum(a.x * b.x), 0) AS score
   FROM queries q CROSS JOIN (SELECT * FROM t WHERE in_corpus AND text IS NOT NULL) t
@@ -242,7 +243,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 @query("search", f"""{SQL_SEARCH}
     SELECT query_id, rank, round(score, 5) AS score FROM ranked JOIN queries USING (query_id) WHERE rank <= k""")
 def search(spark, sf):
-    """Ranks and scores: equal scores may order equal texts either way in float32."""
+    """Ranks and scores; the SQL rounds unit vectors to float32 as the index does."""
     return _searched(spark, sf).select(
         "query_id", F.col("rank").cast("bigint").alias("rank"), F.round("score", 5).alias("score")
     )
