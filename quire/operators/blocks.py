@@ -28,10 +28,11 @@ def pack(
 ) -> DataFrame:
     """Rows ``(key, ids, payload, extra)`` of up to ``BLOCK_ROWS`` input rows with one key.
 
-    Vectors are packed as float64 bytes, codes as they are. Rows are packed where they
-    lie, without a shuffle; a key with many rows becomes many blocks.
+    Vectors are packed as bytes of their own precision, codes as they are. Rows are packed
+    where they lie, without a shuffle; a key with many rows becomes many blocks.
     """
     coded = isinstance(df.schema[payload].dataType, T.BinaryType)
+    dtype = None if coded else vector_dtype(df, payload)
     names = [key, id_col, payload] + ([extra] if extra else [])
 
     def run(batches):
@@ -47,7 +48,7 @@ def pack(
                 rows = np.array(batch.column(2).to_pylist(), dtype=object)[order]
                 blobs = [b"".join(rows[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
             else:
-                x = arrow_to_matrix(batch.column(2))[order]
+                x = arrow_to_matrix(batch.column(2), dtype)[order]
                 blobs = [x[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
             take = pa.array(order)
             offsets = pa.array(bounds)
@@ -71,6 +72,12 @@ def pack(
     return df.select(*names).mapInArrow(run, out)
 
 
+def vector_dtype(df: DataFrame, column: str) -> str:
+    """numpy name of the element type of a vector column."""
+    element = df.schema[column].dataType.elementType
+    return "float32" if isinstance(element, T.FloatType) else "float64"
+
+
 def _block_starts(keys: np.ndarray) -> np.ndarray:
     """First positions of blocks in sorted keys: where the key changes or a block is full."""
     changes = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
@@ -94,11 +101,12 @@ def join_blocks(query_blocks: DataFrame, blocks: DataFrame, key: str, query_byte
     )
 
 
-def score_pairs(pairs: DataFrame, score, k: int, metric: str) -> DataFrame:
+def score_pairs(pairs: DataFrame, score, k: int, metric: str, dtype: str) -> DataFrame:
     """``(query_id, id, score)``: the ``k`` best candidates of each block pair per query.
 
-    ``score(vectors, cell_scores, payload)`` gives the score matrix of one pair. Ties go
-    to the lower id, as in the final cut.
+    ``score(vectors, payload, n)`` gives the score matrix of float64 query vectors and the
+    ``n`` candidates of a block; ``dtype`` is how the query vectors were packed. Ties go to
+    the lower id, as in the final cut.
     """
     based = "cell_scores" in pairs.columns
     names = ["query_ids", "vector_block", "ids", "payload_block"] + (
@@ -114,7 +122,8 @@ def score_pairs(pairs: DataFrame, score, k: int, metric: str) -> DataFrame:
                 order = ids.to_numpy(zero_copy_only=False)
                 order = np.argsort(order.astype(str) if order.dtype == object else order)
                 base = batch.column(4)[i].values.to_numpy()[:, None] if based else 0.0
-                vectors = np.frombuffer(batch.column(1)[i].as_py()).reshape(len(query_ids), -1)
+                vectors = np.frombuffer(batch.column(1)[i].as_py(), dtype=dtype).astype("float64")
+                vectors = vectors.reshape(len(query_ids), -1)
                 s = score(vectors, batch.column(3)[i].as_py(), len(ids))[:, order] + base
                 columns = best(s, k, metric)
                 rows = np.repeat(np.arange(len(query_ids)), columns.shape[1])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.functions import text as X
-from quire.session import broadcast_limit
+from quire.session import broadcast_limit, stable
 
 
 def works_in(works: DataFrame, hit_ids: DataFrame) -> DataFrame:
@@ -36,9 +36,10 @@ def hydrate(hits: DataFrame, works: DataFrame, latest: list[str] = ()) -> DataFr
     """Every hit with title, abstract, year, doi and link; null where it has no record.
 
     ``hits`` has ``query_id, rank, score, id``; ``latest`` names columns of ``works`` that
-    order several records of one id.
+    order several records of one id. The hits are materialised, as they are used three times
+    and are the outcome of the whole search.
     """
-    keyed = hits.withColumn("short_id", X.short_work_id(F.col("id")))
+    keyed = stable(hits.withColumn("short_id", X.short_work_id(F.col("id"))))
     records = one_per_id(
         works_in(works, keyed), [*[F.col(c) for c in latest], F.col("id"), F.col("doi")]
     ).select(

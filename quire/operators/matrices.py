@@ -67,8 +67,18 @@ def decode(codes: np.ndarray, books: np.ndarray) -> np.ndarray:
     return np.concatenate([books[j][codes[:, j]] for j in range(len(books))], axis=1)
 
 
+#: Queries in a block from which decoding the codes once beats looking each one up.
+_DECODE_FROM = 16
+
+
 def code_scores(q: np.ndarray, codes: np.ndarray, books: np.ndarray, metric: str) -> np.ndarray:
-    """Scores of raw queries against coded vectors, summed from one table per sub-space."""
+    """Scores of raw queries against coded vectors.
+
+    For few queries they are summed from one table per sub-space; for many it is cheaper
+    to decode the block and multiply. Both give the same scores.
+    """
+    if len(q) >= _DECODE_FROM:
+        return scores(q, decode(codes, books), metric)
     width = books.shape[2]
     total = np.zeros((len(q), len(codes)))
     for j in range(len(books)):

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators import matrices
-from quire.operators.blocks import BLOCK_ROWS, join_blocks, pack, rank_hits, score_pairs
+from quire.operators.blocks import (
+    BLOCK_ROWS, join_blocks, pack, rank_hits, score_pairs, vector_dtype,
+)
 from quire.operators.quantiser import Quantiser, to_cells
 
 METRICS = ("ip", "l2")
@@ -26,14 +28,15 @@ def check_metric(metric: str) -> str:
 
 
 def _size(queries: DataFrame) -> tuple[int, int]:
-    """Number of queries and bytes of their vectors as packed."""
+    """Number of queries and bytes of their vectors, at most eight per value."""
     row = queries.agg(F.count("*").alias("n"), F.sum(F.size("vector")).alias("values")).first()
     return row["n"], 8 * (row["values"] or 0)
 
 
-def flat_scores(metric: str):
+def flat_scores(metric: str, dtype: str):
     def score(vectors, payload, n):
-        return matrices.scores(vectors, np.frombuffer(payload).reshape(n, -1), metric)
+        block = np.frombuffer(payload, dtype=dtype).astype("float64").reshape(n, -1)
+        return matrices.scores(vectors, block, metric)
 
     return score
 
@@ -56,7 +59,9 @@ def exact_neighbours(queries: DataFrame, corpus: DataFrame, k: int, metric: str
         key="grp", id_col="id", payload="payload",
     ).withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     pairs = join_blocks(query_blocks, blocks, "grp", size)
-    return rank_hits(score_pairs(pairs, flat_scores(metric), k, metric), k, metric)
+    score = flat_scores(metric, vector_dtype(corpus, "embedding"))
+    scored = score_pairs(pairs, score, k, metric, vector_dtype(queries, "vector"))
+    return rank_hits(scored, k, metric)
 
 
 def probe_cells(queries: DataFrame, quantiser: Quantiser, nprobe: int) -> DataFrame:
@@ -105,8 +110,9 @@ def cell_neighbours(
             return matrices.code_scores(vectors, codes, shared.value, metric)
 
     else:
-        score = flat_scores(metric)
-    return rank_hits(score_pairs(pairs, score, k, metric), k, metric)
+        score = flat_scores(metric, vector_dtype(postings, "embedding"))
+    scored = score_pairs(pairs, score, k, metric, vector_dtype(probes, "vector"))
+    return rank_hits(scored, k, metric)
 
 
 def recall(found: DataFrame, truth: DataFrame) -> DataFrame:

@@ -37,8 +37,19 @@ def with_ordinal(df: DataFrame, *order: str, name: str = "ordinal") -> DataFrame
 
 
 def head(df: DataFrame, n: int, *order: str) -> DataFrame:
-    """Exactly the first ``n`` rows in the given order, however large ``n`` is."""
-    return with_ordinal(df, *order, name="_at").where(F.col("_at") < n).drop("_at")
+    """Exactly the first ``n`` rows in the given order, however large ``n`` is.
+
+    Only the order columns are sorted, to find the key of row ``n``; the rows are then
+    filtered by it.
+    """
+    keys = with_ordinal(df.select(*order), *order, name="_at")
+    cut = keys.where(F.col("_at") == n - 1).drop("_at").first()
+    if cut is None:
+        return df
+    key = F.struct(*order)
+    last = F.struct(*[F.lit(cut[c]).cast(df.schema[c].dataType).alias(c) for c in order])
+    n_before = keys.where(F.struct(*order) < last).count()
+    return df.where(key < last).unionByName(df.where(key == last).limit(n - n_before))
 
 
 def with_batches(df: DataFrame, size: int, *order: str) -> DataFrame:

@@ -108,6 +108,8 @@ def to_cells(
                 continue
             centroids = model.value
             x = arrow_to_matrix(batch.column(at), centroids.dtype)
+            if x.shape[1] != centroids.shape[1]:
+                raise ValueError(f"vectors differ in length: {x.shape[1]}, model {centroids.shape[1]}")
             cells, values = matrices.nearest(x, centroids, metric, n)
             rows = np.repeat(np.arange(len(x)), n)
             columns = [c if n == 1 else c.take(pa.array(rows)) for c in batch.columns]
@@ -253,12 +255,19 @@ def train_books(
     if dim % m:
         raise ValueError(f"{dim} dimensions do not split into {m} sub-spaces")
     check_model_size(sample.sparkSession, 4 * n_codes * dim)
-    first = hash_sample(sample, min(1.0, 4 * n_codes / n), key, seed)
+    # Start from distinct vectors with the lowest hashes. They are chosen by two numbers a
+    # row; only the chosen vectors are sent to the driver.
+    candidates = hash_sample(sample, min(1.0, 4 * n_codes / n), key, seed).select(
+        F.col(vector).cast("array<float>").alias("v"),
+        F.xxhash64(F.col(key), F.lit(seed)).alias("h"),
+        F.xxhash64(vector).alias("vh"),
+    )
+    chosen = candidates.groupBy("vh").agg(F.min("h").alias("h")).orderBy("h", "vh").limit(n_codes)
     starts = (
-        first.dropDuplicates([vector])
-        .orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key))
-        .limit(n_codes)
-        .select(F.col(vector).cast("array<float>").alias("v"))
+        candidates.join(F.broadcast(chosen), ["vh", "h"])
+        .dropDuplicates(["vh"])
+        .orderBy("h", "vh")
+        .select("v")
         .toArrow()
     )
     rows = arrow_to_matrix(starts.column("v").combine_chunks(), "float32")

@@ -12,6 +12,7 @@ from quire.operators.embedding import embed
 from quire.operators.hydrate import hydrate
 from quire.operators.neighbours import cell_neighbours, probe_cells
 from quire.plans import index_job
+from quire.session import stable
 
 #: Cells searched per query unless asked otherwise.
 NPROBE = 32
@@ -69,7 +70,7 @@ def run(
     quantiser = index_job.load_quantiser(spark, index_dir, meta)
     asked = valid_queries(queries)
     vectors = embed_queries(asked, embed_fn, meta["normalized"]).select("query_id", "vector")
-    vectors = vectors.persist()
+    vectors = stable(vectors)
     row = vectors.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dim")).first()
     if row["n"] and row["dim"] != meta["dim"]:
         raise RuntimeError(f"query vectors have {row['dim']} dimensions, the index {meta['dim']}")

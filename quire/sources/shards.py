@@ -62,6 +62,16 @@ def read_vectors(spark: SparkSession, paths) -> DataFrame:
     )
 
 
+def first_dim(vectors: DataFrame, expected: int | None = None) -> int:
+    """Length of one vector. Reading all of them is left to the job, which checks each block."""
+    row = vectors.where(F.col("embedding").isNotNull()).select(F.size("embedding")).first()
+    if row is None:
+        raise RuntimeError("could not determine the embedding dimension: no vectors")
+    if expected is not None and expected != row[0]:
+        raise RuntimeError(f"dimension mismatch: index has {expected}, vectors have {row[0]}")
+    return row[0]
+
+
 def detect_dim(vectors: DataFrame, expected: int | None = None) -> int:
     """Common length of all vectors; mixed lengths, nulls or no rows are errors."""
     row = vectors.agg(

@@ -111,14 +111,10 @@ def knn_small_corpus(spark, sf):
 @query("hit_ids", f"""{WITH}, {D.sql_exact('ip', K)}
     SELECT query_id, rank, '{D.BASE}W' || id AS work_id FROM hits""")
 def hit_ids(spark, sf):
-    """The identifier travels with its vector; names of equal length order like numbers here."""
-    rows = D.vectors(spark, sf).select(F.struct(F.col("vec_id"), "id").alias("key"), "embedding", "vec_id")
-    by_number = N.exact_neighbours(
-        D.all_queries(spark, sf), rows.select(F.col("vec_id").alias("id"), "embedding"), K
-    )
-    names = D.vectors(spark, sf).select("vec_id", F.col("id").alias("work_id"))
-    return by_number.join(names, by_number["id"] == names["vec_id"]).select(
-        "query_id", F.col("rank").cast("bigint").alias("rank"), "work_id"
+    """The identifier travels with its vector; no position is looked up."""
+    rows = D.vectors(spark, sf).select("id", "embedding")
+    return N.exact_neighbours(D.all_queries(spark, sf), rows, K).select(
+        "query_id", F.col("rank").cast("bigint").alias("rank"), F.col("id").alias("work_id")
     )
 
 
