@@ -100,10 +100,15 @@ def work_title(title: Column, display_name: Column) -> Column:
     return F.coalesce(non_empty(title), display_name)
 
 
-def build_text(title: Column, abstract: Column, mode: str = "title_abstract") -> Column:
-    """Text to embed, null when the chosen fields hold nothing."""
+def check_mode(mode: str) -> str:
     if mode not in TEXT_MODES:
         raise ValueError(f"unknown text mode {mode!r}; choose one of {', '.join(TEXT_MODES)}")
+    return mode
+
+
+def build_text(title: Column, abstract: Column, mode: str = "title_abstract") -> Column:
+    """Text to embed, null when the chosen fields hold nothing."""
+    check_mode(mode)
     parts = {"title": [title], "abstract": [abstract], "title_abstract": [title, abstract]}[mode]
     # concat_ws leaves nulls out, so one missing side yields the other one alone.
     return non_empty(F.concat_ws("\n\n", *[non_empty(strip(p)) for p in parts]))

@@ -98,6 +98,10 @@ def cell_neighbours(
         key="cell", id_col="query_id", payload="vector",
         extra="cell_score" if residual and metric == "ip" else None,
     )
+    if n * nprobe < quantiser.nlist:
+        # Few probes: drop the other cells before anything is packed. One number per cell
+        # is far below the size the centroids themselves were checked for.
+        postings = postings.join(F.broadcast(probes.select("cell").distinct()), "cell", "left_semi")
     payload = F.col("codes" if coded else "embedding").alias("payload")
     blocks = pack(postings.select("cell", "id", payload), key="cell", id_col="id", payload="payload")
     pairs = join_blocks(query_blocks, blocks, "cell", size * min(nprobe, quantiser.nlist))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,6 +22,11 @@ class EmbedRun:
     batch_id: int | None
     n_parts: int
     n_works: int
+    seconds: float = 0.0
+
+    @property
+    def works_per_second(self) -> float:
+        return self.n_works / max(1.0, self.seconds)
 
 
 def corpus_rows(
@@ -62,7 +68,8 @@ def run(
     the call writes nothing. ``max_works`` ends the batch after the part that reaches it.
     ``resolve`` maps the URL of an entry to a path Spark can read.
     """
-    X.build_text(F.lit(""), F.lit(""), mode)
+    X.check_mode(mode)
+    began = time.monotonic()
     manifest = snapshot.read_manifest(spark, manifest_path)
     completed = ledger.read_completed(spark, f"{out_dir}/parts")
     todo = ledger.not_done(snapshot.manifest_parts(manifest), completed, "part").orderBy("pos")
@@ -85,7 +92,7 @@ def run(
     shards.write_shards(embedded, f"{out_dir}/shards/batch={batch_id:06d}", rows_per_file)
     done = spark.createDataFrame([(part,) for _, part, _ in listed], "part string")
     ledger.commit_parts(done, f"{out_dir}/parts", batch_id)
-    return EmbedRun(batch_id, len(listed), seen.get["n_rows"])
+    return EmbedRun(batch_id, len(listed), seen.get["n_rows"], time.monotonic() - began)
 
 
 def _up_to(spark, listed, rows_of, max_works):

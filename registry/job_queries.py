@@ -211,15 +211,20 @@ def run_index_job(spark, sf):
 
 
 # --------------------------------------------------------------------------- search
-def _searched(spark, sf):
-    """All cells probed and raw vectors kept, so the approximate search is exact."""
+def text_index(spark, sf):
+    """Index over the embedded corpus, raw vectors kept."""
 
     def write(path):
         options = index_job.IndexOptions(normalize=True, nlist=8, pq_m=0, iterations=2)
         index_job.run(spark, _written_shards(spark, sf), path, options)
 
-    index = staged(spark, sf, "text-index", write)
-    return search_job.run(spark, search_queries(spark, sf), index, D.works(spark, sf), EMBED, nprobe=8)
+    return staged(spark, sf, "text-index", write)
+
+
+def _searched(spark, sf):
+    """All cells are probed, so the approximate search is exact."""
+    index, works = text_index(spark, sf), D.works(spark, sf)
+    return search_job.run(spark, search_queries(spark, sf), index, works, EMBED, nprobe=8)
 
 
 SQL_SEARCH = f"""{WITH}, {SQL_QUERIES},

@@ -190,3 +190,18 @@ def test_uneven_vectors_fail(spark):
     model = Q.Quantiser(np.eye(2))
     with pytest.raises(Exception, match="differ in length"):
         Q.to_cells(df.coalesce(1), model, vector="embedding").collect()
+
+
+def test_few_probes_drop_other_cells_first(spark, data):
+    x, q = data
+    model = Q.Quantiser(x[:100].astype("float64"), "l2")
+    rows = postings(spark, x, model)
+    few = queries(spark, q[:4])
+    hits = N.cell_neighbours(few, rows, model, 5, 20)
+    assert "LeftSemi" in hits._jdf.queryExecution().executedPlan().toString()
+    cells = matrices.nearest(x.astype("float64"), model.centroids, "l2")[0][:, 0]
+    probed = matrices.nearest(q[:4].astype("float64"), model.centroids, "l2", 20)[0]
+    for i, best in found(hits).items():
+        mine = np.flatnonzero(np.isin(cells, probed[i]))
+        dist = ((x[mine].astype("float64") - q[i].astype("float64")) ** 2).sum(1)
+        assert [j for j, _ in best] == [int(mine[k]) for k in np.argsort(dist, kind="stable")[:5]]
