@@ -12,11 +12,12 @@ def with_ordinal(df: DataFrame, *order: str, name: str = "ordinal") -> DataFrame
     """Add the 0-based position of each row in the order of the given columns.
 
     Rows are range-partitioned and sorted, so a hot leading value is split by the columns
-    after it. The sorted rows are kept in the shared folder: the partition boundaries must
+    after it, and rows equal in all of them by the rest of the row. The sorted rows are kept in the shared folder: the partition boundaries must
     be the same for counting and for numbering. Each row then gets its place in its
     partition plus the number of rows in the partitions before.
     """
-    ordered = stable(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    keys = [*order, F.xxhash64(*df.columns)]
+    ordered = stable(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
     tagged = ordered.withColumn("_rid", F.monotonically_increasing_id()).select(
         "*",
         F.shiftright("_rid", 33).alias("_pid"),

@@ -30,13 +30,14 @@ class EmbedRun:
 
 
 def corpus_rows(
-    works: DataFrame,
+    lines: DataFrame,
     *,
     concept_id: str = X.DEFAULT_CONCEPT,
     mode: str = "title_abstract",
     skip_no_text: bool = True,
 ) -> DataFrame:
-    """Raw works filtered, mapped and given a text: all of the job but the vectors."""
+    """Lines parsed, filtered, mapped and given a text: all of the job but the vectors."""
+    works = snapshot.parse_works(lines, concept_id=concept_id)
     return snapshot.with_text(snapshot.map_works(works, concept_id), mode, skip_no_text)
 
 
@@ -81,7 +82,7 @@ def run(
 
     def rows_of(paths):
         return corpus_rows(
-            snapshot.read_works(spark, paths),
+            snapshot.read_lines(spark, paths),
             concept_id=concept_id, mode=mode, skip_no_text=skip_no_text,
         )
 

@@ -81,12 +81,26 @@ def last_key_wins(m: Column) -> Column:
     )
 
 
-def parse_works(lines: DataFrame, schema=schemas.RAW_WORK) -> DataFrame:
+def may_carry(value: Column, concept_id: str) -> Column:
+    """False only for lines that cannot have the concept: neither its id nor an escaped letter.
+
+    JSON can spell a letter or digit in no other way than plainly or as ``\\u00XX``.
+    """
+    return F.contains(value, F.lit(concept_id)) | F.contains(value, F.lit("\\u00"))
+
+
+def parse_works(
+    lines: DataFrame, schema=schemas.RAW_WORK, concept_id: str | None = None
+) -> DataFrame:
     """Raw works of the lines that are JSON objects.
 
     A field of an unexpected type becomes null and its work is kept. Only lines on which
-    the typed parse found fault are parsed a second time, for their syntax alone.
+    the typed parse found fault are parsed a second time, for their syntax alone. With
+    ``concept_id``, lines that cannot have the concept are dropped before parsing; the
+    concept filter itself is still to be applied.
     """
+    if concept_id is not None:
+        lines = lines.where(may_carry(F.col("value"), concept_id))
     typed = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in schema)}, _corrupt_record string"
     value = F.col("value")
     framed = lines.where(F.startswith(value, F.lit("{")) & F.endswith(value, F.lit("}")))
@@ -112,9 +126,11 @@ def bad_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_works(spark: SparkSession, paths, schema=schemas.RAW_WORK) -> DataFrame:
-    """Raw works of the given parts or folders."""
-    return parse_works(read_lines(spark, paths), schema)
+def read_works(
+    spark: SparkSession, paths, schema=schemas.RAW_WORK, concept_id: str | None = None
+) -> DataFrame:
+    """Raw works of the given parts or folders; for ``concept_id`` see :func:`parse_works`."""
+    return parse_works(read_lines(spark, paths), schema, concept_id)
 
 
 def updated_date(part: Column) -> Column:

@@ -32,7 +32,7 @@ def ingest_parts(
     """
 
     def write(lines: DataFrame, batch_id: int) -> None:
-        rows = corpus_rows(snapshot.parse_works(lines), concept_id=concept_id, mode=mode)
+        rows = corpus_rows(lines, concept_id=concept_id, mode=mode)
         embedded = embed(rows, embed_fn, spread=True)
         shards.write_shards(embedded, f"{out_dir}/shards/batch={batch_id:06d}")
         ledger.commit_parts(lines.select("part").distinct(), f"{out_dir}/parts", batch_id)

@@ -49,7 +49,7 @@ SQL_ETL = f"""{WITH} SELECT id, doi, title, language, publication_year, type, te
 @query("etl_works", SQL_ETL)
 def etl_works(spark, sf):
     """Snapshot files to texts: everything of the embed job before the vectors."""
-    rows = embed_job.corpus_rows(snapshot.read_works(spark, D.snapshot_root(spark, sf)))
+    rows = embed_job.corpus_rows(snapshot.read_lines(spark, D.snapshot_root(spark, sf)))
     return rows.select("id", "doi", "title", "language", "publication_year", "type", "text")
 
 

@@ -82,14 +82,16 @@ def scan_by_updated_date(spark, sf):
     WITH {D.SQL_WORKS} SELECT id, title, abstract FROM w WHERE in_corpus AND updated_date = '2024-01-05'""")
 def works_for_part(spark, sf):
     path = f"{D.snapshot_root(spark, sf)}/updated_date=2024-01-05"
-    return snapshot.map_works(snapshot.read_works(spark, path)).select("id", "title", "abstract")
+    works = snapshot.read_works(spark, path, concept_id=X.DEFAULT_CONCEPT)
+    return snapshot.map_works(works).select("id", "title", "abstract")
 
 
 @query("works_by_part", f"""
     WITH {D.SQL_WORKS} SELECT updated_date, count(*) AS n, CAST(sum(length(abstract)) AS BIGINT) AS n_chars
     FROM w WHERE in_corpus GROUP BY updated_date""")
 def works_by_part(spark, sf):
-    works = snapshot.map_works(snapshot.read_works(spark, D.snapshot_root(spark, sf)))
+    root = D.snapshot_root(spark, sf)
+    works = snapshot.map_works(snapshot.read_works(spark, root, concept_id=X.DEFAULT_CONCEPT))
     return works.groupBy(snapshot.updated_date(F.col("part")).cast("string").alias("updated_date")).agg(
         F.count("*").alias("n"), F.sum(F.length("abstract")).alias("n_chars")
     )

@@ -105,3 +105,19 @@ def test_keep_no_text(spark, tmp_path):
     kept = snapshot.with_text(mapped, skip_no_text=False)
     assert {r["id"]: r["text"] for r in kept.collect()} == {"a": "t", "b": ""}
     assert kept.where(F.col("title") == " ").count() == 1
+
+
+def test_lines_without_the_concept_are_not_parsed(spark, tmp_path):
+    escaped = '{"id": "esc", "concepts": [{"id": "\\u0043719\\u00324100"}]}'
+    write_part(tmp_path, "2024-01-01", [
+        '{"id": "yes", "concepts": [{"id": "C71924100"}]}',
+        escaped,
+        '{"id": "no", "concepts": [{"id": "C1"}]}',
+        '{"id": "title", "title": "C71924100"}',
+        '{"id": "accent", "title": "caf\\u00e9", "concepts": [{"id": "C1"}]}',
+    ])
+    parsed = snapshot.read_works(spark, str(tmp_path), concept_id="C71924100")
+    assert {r["id"] for r in parsed.collect()} == {"yes", "esc", "title", "accent"}
+    assert {r["id"] for r in snapshot.map_works(parsed).collect()} == {"yes", "esc"}
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("from_json") < plan.index("Contains("), "the test for the id comes first"
