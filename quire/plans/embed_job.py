@@ -19,7 +19,7 @@ from quire.sources import ledger, shards, snapshot
 class EmbedRun:
     """What one run did."""
 
-    batch_id: int | None
+    n_batches: int
     n_parts: int
     n_works: int
     seconds: float = 0.0
@@ -59,15 +59,17 @@ def run(
     mode: str = "title_abstract",
     skip_no_text: bool = True,
     max_works: int | None = None,
+    parts_per_batch: int | None = None,
     rows_per_file: int = shards.SHARD_ROWS,
     resolve=lambda url: url,
 ) -> EmbedRun:
     """Embed the parts of the manifest that ``out_dir`` has no record of.
 
     Shards go to ``shards/batch=N`` and the record to ``parts``, in this order: after a
-    crash in between, batch ``N`` is written again over its leftovers. With nothing new
-    the call writes nothing. ``max_works`` ends the batch after the part that reaches it.
-    ``resolve`` maps the URL of an entry to a path Spark can read.
+    crash in between, batch ``N`` is written again over its leftovers. ``parts_per_batch``
+    bounds what such a crash can cost. With nothing new the call writes nothing.
+    ``max_works`` ends the run after the part that reaches it. ``resolve`` maps the URL of
+    an entry to a path Spark can read.
     """
     X.check_mode(mode)
     began = time.monotonic()
@@ -77,7 +79,7 @@ def run(
     batch_id = ledger.next_batch(completed)
     listed = [(r["pos"], r["part"], resolve(r["url"])) for r in todo.collect()]  # one row per file
     if not listed:
-        return EmbedRun(None, 0, 0)
+        return EmbedRun(0, 0, 0)
     manifest.write.mode("overwrite").json(f"{out_dir}/manifests/batch={batch_id:06d}")
 
     def rows_of(paths):
@@ -88,12 +90,17 @@ def run(
 
     if max_works is not None:
         listed = _up_to(spark, listed, rows_of, max_works)
-    rows, seen = observed(rows_of([path for _, _, path in listed]))
-    embedded = embed(rows, embed_fn, spread=True)
-    shards.write_shards(embedded, f"{out_dir}/shards/batch={batch_id:06d}", rows_per_file)
-    done = spark.createDataFrame([(part,) for _, part, _ in listed], "part string")
-    ledger.commit_parts(done, f"{out_dir}/parts", batch_id)
-    return EmbedRun(batch_id, len(listed), seen.get["n_rows"], time.monotonic() - began)
+    size = parts_per_batch or len(listed)
+    batches = [listed[at : at + size] for at in range(0, len(listed), size)]
+    n_works = 0
+    for number, batch in enumerate(batches, start=batch_id):
+        rows, seen = observed(rows_of([path for _, _, path in batch]), f"batch-{number}")
+        embedded = embed(rows, embed_fn, spread=True)
+        shards.write_shards(embedded, f"{out_dir}/shards/batch={number:06d}", rows_per_file)
+        done = spark.createDataFrame([(part,) for _, part, _ in batch], "part string")
+        ledger.commit_parts(done, f"{out_dir}/parts", number)
+        n_works += seen.get["n_rows"]
+    return EmbedRun(len(batches), len(listed), n_works, time.monotonic() - began)
 
 
 def _up_to(spark, listed, rows_of, max_works):

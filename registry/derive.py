@@ -5,8 +5,10 @@ Every column is plain arithmetic on ``doc_id`` or ``vec_id``, so SQL can repeat
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire import schemas
 from quire.functions import text as X
@@ -22,37 +24,41 @@ def _when(*cases):
     return F.coalesce(*[F.when(condition, value) for condition, value in cases])
 
 
-def _index(tokens_of: DataFrame) -> DataFrame:
-    """``(doc_id, abstract_inverted_index)`` from ``(doc_id, text)``.
+INDEX_TYPE = pa.map_(pa.string(), pa.list_(pa.int32()))
+
+
+def _with_index(docs: DataFrame) -> DataFrame:
+    """``docs`` with the inverted index of ``text``, made where the rows lie.
 
     Every seventh document has gaps between its positions; in every thirteenth a late
-    token takes position 0 from the first one.
+    token takes position 0 from the first one; every eleventh has no index.
     """
-    placed = tokens_of.select("doc_id", F.posexplode(F.split("text", " ")).alias("p", "token"))
-    step = F.when(F.col("doc_id") % 7 == 2, 2).otherwise(1)
-    per_token = placed.groupBy("doc_id", "token").agg(
-        F.sort_array(F.collect_list((F.col("p") * step).cast("int"))).alias("positions")
-    )
-    entries = per_token.groupBy("doc_id").agg(
-        F.sort_array(
-            F.collect_list(F.struct(F.col("positions")[0].alias("first"), "token", "positions"))
-        ).alias("entries")
-    )
-    late = F.array(
-        F.struct(F.lit(0).alias("first"), F.lit("¤").alias("token"), F.array(F.lit(0)).alias("positions"))
-    )
-    with_late = F.when(F.col("doc_id") % 13 == 5, F.concat("entries", late)).otherwise(F.col("entries"))
-    return entries.select(
-        "doc_id",
-        F.map_from_entries(
-            F.transform(with_late, lambda e: F.struct(e["token"], e["positions"]))
-        ).alias("abstract_inverted_index"),
-    )
+
+    def entries(doc_id, text):
+        if doc_id % 11 == 0:
+            return None
+        step = 2 if doc_id % 7 == 2 else 1
+        places: dict[str, list[int]] = {}
+        for p, token in enumerate(text.split(" ")):
+            places.setdefault(token, []).append(p * step)
+        if doc_id % 13 == 5:
+            places["¤"] = [0]
+        return list(places.items())
+
+    def run(batches):
+        for batch in batches:
+            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            index = pa.array([entries(i, t) for i, t in zip(ids, texts)], type=INDEX_TYPE)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, index], names=[*batch.schema.names, "abstract_inverted_index"]
+            )
+
+    field = T.StructField("abstract_inverted_index", schemas.INVERTED_INDEX)
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, field]))
 
 
 def _write_works(spark: SparkSession, sf_dir: str, path: str) -> None:
-    # Partitioned as the index is built and joined, so the documents move once.
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source").repartition("doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     d = F.col("doc_id")
     ident = F.concat(F.lit(BASE + "W"), d.cast("string"))
 
@@ -63,8 +69,9 @@ def _write_works(spark: SparkSession, sf_dir: str, path: str) -> None:
         return F.concat(F.lit(value), d.cast("string"))
 
     day = F.format_string("2024-01-%02d", (d % 28 + 1).cast("int"))
-    works = docs.select(
+    works = _with_index(docs.hint("rebalance")).select(
         "doc_id",
+        "abstract_inverted_index",
         ident.alias("id"),
         F.when(d % 3 != 0, link("https://doi.org/10.1/")).alias("doi"),
         _when(
@@ -98,8 +105,7 @@ def _write_works(spark: SparkSession, sf_dir: str, path: str) -> None:
         F.concat(F.lit(BUCKET + "data/works/updated_date="), day, F.lit("/part_000.gz")).alias("part"),
         day.alias("updated_date"),
     )
-    index = _index(docs.where(d % 11 != 0).select("doc_id", "text"))
-    works.join(index, "doc_id", "left").write.parquet(path)
+    works.write.parquet(path)
 
 
 def works(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,11 +38,11 @@ class Snapshot:
         self.urls.append(f"s3://bucket/works/updated_date={date}/part_000.gz")
         (self.root / "manifest.json").write_text(json.dumps({"entries": [{"url": u} for u in self.urls]}))
 
-    def embed(self, spark, out, **kwargs):
+    def embed(self, spark, out, embed_fn=EMBED, **kwargs):
         def resolve(url):
             return url.replace("s3://bucket/works", str(self.root))
 
-        return embed_job.run(spark, str(self.root / "manifest.json"), str(out), EMBED, resolve=resolve, **kwargs)
+        return embed_job.run(spark, str(self.root / "manifest.json"), str(out), embed_fn, resolve=resolve, **kwargs)
 
 
 @pytest.fixture
@@ -62,9 +62,10 @@ def shard_ids(spark, out):
 def test_embed_job_is_incremental(spark, snap, tmp_path):
     out = tmp_path / "out"
     first = snap.embed(spark, out, rows_per_file=20)
-    assert (first.batch_id, first.n_parts, first.n_works) == (0, 3, 50)
+    assert (first.n_batches, first.n_parts, first.n_works) == (1, 3, 50)
+    assert first.works_per_second > 0
     again = snap.embed(spark, out)
-    assert (again.batch_id, again.n_parts) == (None, 0)
+    assert (again.n_batches, again.n_parts) == (0, 0)
     snap.add("2024-02-01", [work(3), work(99)])  # work 3 is shipped again
     assert snap.embed(spark, out).n_works == 2
     assert shard_ids(spark, out) == sorted([*range(30), *range(40, 60), 3, 99])
@@ -89,7 +90,23 @@ def test_embed_job_soft_limit(spark, snap, tmp_path):
     run = snap.embed(spark, out, max_works=10)
     assert (run.n_parts, run.n_works) == (1, 30)
     assert snap.embed(spark, out, max_works=10).n_works == 20  # the empty part comes along
-    assert snap.embed(spark, out).batch_id is None
+    assert snap.embed(spark, out).n_batches == 0
+
+
+def test_embed_job_goes_on_after_a_crash(spark, snap, tmp_path):
+    out = tmp_path / "out"
+
+    def fails_on_the_last_part(texts):
+        if any(t.startswith("Title 4") and len(t.split()[1]) == 2 for t in texts):
+            raise OSError("embedding service gone")
+        return EMBED(texts)
+
+    with pytest.raises(Exception, match="service gone"):
+        snap.embed(spark, out, embed_fn=fails_on_the_last_part, parts_per_batch=1)
+    assert shard_ids(spark, out) == list(range(30))
+    rest = snap.embed(spark, out, parts_per_batch=1)
+    assert (rest.n_batches, rest.n_works) == (1, 20)
+    assert shard_ids(spark, out) == [*range(30), *range(40, 60)]
 
 
 def test_embed_checks(spark):
