@@ -117,6 +117,7 @@ def score_pairs(pairs: DataFrame, score, k: int, metric: str, dtype: str) -> Dat
 
     def run(batches):
         for batch in batches:
+            hits = []
             for i in range(batch.num_rows):
                 query_ids, ids = batch.column(0)[i].values, batch.column(2)[i].values
                 order = ids.to_numpy(zero_copy_only=False)
@@ -127,14 +128,14 @@ def score_pairs(pairs: DataFrame, score, k: int, metric: str, dtype: str) -> Dat
                 s = score(vectors, batch.column(3)[i].as_py(), len(ids))[:, order] + base
                 columns = best(s, k, metric)
                 rows = np.repeat(np.arange(len(query_ids)), columns.shape[1])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        query_ids.take(pa.array(rows)),
-                        ids.take(pa.array(order[columns.ravel()])),
-                        pa.array(np.take_along_axis(s, columns, axis=1).ravel()),
-                    ],
-                    names=["query_id", "id", "score"],
-                )
+                hits.append((
+                    query_ids.take(pa.array(rows)),
+                    ids.take(pa.array(order[columns.ravel()])),
+                    pa.array(np.take_along_axis(s, columns, axis=1).ravel()),
+                ))
+            if hits:
+                merged = [pa.concat_arrays(column) for column in zip(*hits)]
+                yield pa.RecordBatch.from_arrays(merged, names=["query_id", "id", "score"])
 
     schema = T.StructType(
         [

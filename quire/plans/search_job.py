@@ -69,9 +69,11 @@ def run(
     meta = index_job.check_integrity(spark, index_dir)
     quantiser = index_job.load_quantiser(spark, index_dir, meta)
     asked = valid_queries(queries)
-    vectors = embed_queries(asked, embed_fn, meta["normalized"]).select("query_id", "vector")
-    vectors = stable(vectors)
-    row = vectors.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dim")).first()
+    vectors = stable(embed_queries(asked, embed_fn, meta["normalized"]).select("query_id", "vector", "k"))
+    row = vectors.agg(
+        F.count("*").alias("n"), F.max(F.size("vector")).alias("dim"), F.max("k").alias("k")
+    ).first()
+    vectors = vectors.drop("k")
     if row["n"] and row["dim"] != meta["dim"]:
         raise RuntimeError(f"query vectors have {row['dim']} dimensions, the index {meta['dim']}")
     nprobe = min(nprobe, quantiser.nlist)
@@ -79,7 +81,7 @@ def run(
     rows = index_job.postings(spark, index_dir, meta)
     if quantiser.nlist > index_job.BUCKETS:
         rows = pruned(rows, probes, row["n"] * nprobe)
-    hits = cell_neighbours(vectors, rows, quantiser, MAX_K, nprobe, probes)
+    hits = cell_neighbours(vectors, rows, quantiser, row["k"] or DEFAULT_K, nprobe, probes)
     best = limit_per_query(hits, asked)
     found = hydrate(best.select("query_id", "rank", "score", "id"), works, latest)
     return found.join(asked.select("query_id", "query"), "query_id")
