@@ -1,5 +1,6 @@
 import gzip
 import json
+import shutil
 
 import numpy as np
 import pytest
@@ -185,9 +186,10 @@ def test_index_job_errors(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         index_job.check_integrity(spark, str(tmp_path / "index"))
     write_vectors(spark, tmp_path / "s", range(10))
-    twice = [str(tmp_path / "s"), next(str(p) for p in (tmp_path / "s").glob("*.parquet"))]
+    shutil.copytree(tmp_path / "s", tmp_path / "copy" / "t")
+    shutil.copytree(tmp_path / "s", tmp_path / "copy" / "u")
     with pytest.raises(ValueError, match="share a file name"):
-        index_job.run(spark, twice, str(tmp_path / "index"), FLAT)
+        index_job.run(spark, str(tmp_path / "copy"), str(tmp_path / "index"), FLAT)
     with pytest.raises(ValueError, match="sub-spaces"):
         index_job.run(spark, str(tmp_path / "s"), str(tmp_path / "index"), IndexOptions(nlist=2, pq_m=5))
 
