@@ -4,17 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.substring_dedup import substring_dedup
 from quire.llm.suffix_dedup import suffix_dedup
+from quire.llm.token_files import read_tokens, write_tokens
+from quire.session import new_run_dir
 from registry.base import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
 def query(name: str, sql: str | None = None):
     def add(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +42,13 @@ def op1(spark, sf_dir):
     )
 
 
+@query("op5_token_files")
+def op5(spark, sf_dir):
+    path = new_run_dir(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path, TOKENIZER)
+    return read_tokens(spark, path)
+
+
 @query("op9_suffix_dedup")
 def op9(spark, sf_dir):
     return suffix_dedup(table(spark, sf_dir, "documents")).select(
