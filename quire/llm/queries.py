@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.llm.html_text import extract_text
 from quire.llm.substring_dedup import substring_dedup
 from quire.llm.suffix_dedup import suffix_dedup
 from quire.llm.token_files import read_tokens, write_tokens
@@ -49,6 +50,11 @@ def op5(spark, sf_dir):
     return read_tokens(spark, path)
 
 
+@query("op6_html_text")
+def op6(spark, sf_dir):
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 @query("op9_suffix_dedup")
 def op9(spark, sf_dir):
     return suffix_dedup(table(spark, sf_dir, "documents")).select(
