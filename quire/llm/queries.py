@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.llm.decontaminate import find_items
 from quire.llm.html_text import extract_text
+from quire.llm.mixing import select_mix
+from quire.llm.mixing_sql import mixture_sql
 from quire.llm.substring_dedup import substring_dedup
 from quire.llm.suffix_dedup import suffix_dedup
 from quire.llm.token_files import read_tokens, write_tokens
@@ -21,6 +24,11 @@ SQL: dict[str, str] = {}
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
+#: Sources by number make three domains; the weights are in parts of a hundred.
+DOMAIN = "concat('d', CAST(coalesce(try_cast(regexp_extract(source, '[0-9]+', 0) AS int), 0) % 3 AS string))"
+WEIGHTS = {"d0": 50, "d1": 30, "d2": 20} | {f"d{i}/{lang}": w for i in range(3) for lang, w in (("en", 55), ("de", 20), ("fr", 15), ("es", 10))}
+MIX = {"share": (6, 10), "max_epochs": 2, "seed": "mix"}
+
 
 def query(name: str, sql: str | None = None):
     def add(fn):
@@ -43,6 +51,11 @@ def op1(spark, sf_dir):
     )
 
 
+@query("op2_decontaminate")
+def op2(spark, sf_dir):
+    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op5_token_files")
 def op5(spark, sf_dir):
     path = new_run_dir(spark, "tokens")
@@ -60,3 +73,11 @@ def op9(spark, sf_dir):
     return suffix_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query(
+    "op10_mixing",
+    mixture_sql(WEIGHTS, "'d' || CAST(coalesce(try_cast(regexp_extract(source, '[0-9]+', 0) AS INT), 0) % 3 AS VARCHAR)", **MIX),
+)
+def op10(spark, sf_dir):
+    return select_mix(table(spark, sf_dir, "documents"), WEIGHTS, F.expr(DOMAIN), **MIX)
