@@ -15,6 +15,7 @@ from quire.llm.mixing_sql import mixture_sql
 from quire.llm.substring_dedup import substring_dedup
 from quire.llm.suffix_dedup import suffix_dedup
 from quire.llm.token_files import read_tokens, write_tokens
+from quire.llm.toxicity import score_documents, train
 from quire.session import new_run_dir
 from registry.base import ship_package, table
 
@@ -56,6 +57,14 @@ def op2(spark, sf_dir):
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op3_toxicity")
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = train(docs, table(spark, sf_dir, "labels").where(remainder != 1))
+    return score_documents(docs, model).select("doc_id", (remainder == 1).alias("held_out"), "score", "predicted")
+
+
 @query("op5_token_files")
 def op5(spark, sf_dir):
     path = new_run_dir(spark, "tokens")
