@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,18 +24,26 @@ from quire.session import broadcast_limit
 
 FILE_SCHEMA = "file long, width int, n_docs long, n_nulls long, first_id long, n_ids long, ids binary, bounds binary, doc_ids binary"
 FILE_BYTES = 8 << 20
-#: Coded words each worker remembers.
-REMEMBERED = 300_000
+#: Text coded at a time.
+CHUNK_BYTES = 4 << 20
+#: Coded pieces a worker remembers before it forgets those not met since it last forgot some.
+REMEMBERED = 500_000
+SPACE = re.compile(r"\s")
+OTHER_SPACE = re.compile(r"[^\S\n]")
 #: A space that other white space stands beside begins no piece of its own.
-UNEVEN = re.compile(r"^ | $| \s|\s ")
+WHITE = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+UNEVEN = rf"^ | $| {WHITE}|{WHITE} "
 PIECE = re.compile(r"(?<=\S)(?= \S)")
 
 _coders: dict[str, Coder] = {}
 
 
 class Coder:
-    """Ids of whole texts. A space between two other characters always begins a new piece for
-    byte-level vocabularies, so equal pieces are coded once and remembered."""
+    """Ids of whole texts.
+
+    The splitting rule of byte-level vocabularies always begins a new piece at a space between
+    two other characters, so equal pieces are coded once and remembered.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -42,42 +51,101 @@ class Coder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.feed = self._direct("\n")
+        self.line = int(np.frombuffer(self.feed, self.dtype)[0])
         self.after: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
 
     def _learn(self, known: dict, wanted: set, before: str) -> None:
-        new = list(wanted - known.keys())
-        for i in range(0, len(new), 4096):
-            some = new[i:i + 4096]
-            for piece, code in zip(some, self.tokenizer.encode_batch_fast([before + x for x in some], add_special_tokens=False), strict=True):
-                known[piece] = np.array(code.ids, dtype=self.dtype).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        even, others, whole = {}, {}, {}
-        for i, text in enumerate(texts):
-            if any(x in text for x in self.special):
-                whole[i] = text
-            elif UNEVEN.search(text):
-                others[i] = PIECE.split(text)
-            else:
-                even[i] = text.split(" ")
-        firsts = {x[0] for x in even.values()}.union(*others.values())
-        later = set().union(*(x[1:] for x in even.values()))
-        self._learn(self.pieces, firsts, "")
-        self._learn(self.after, later, " ")
+        """Add the ids of the pieces not yet known, each coded as it is after ``before``.
+
+        A line feed between two other characters is a piece of its own, and so separates others.
+        """
+        new = wanted - known.keys()
+        old = self.older[before]
+        for x in new & old.keys():
+            known[x] = old[x]
+        new -= known.keys()
+        lines = {x: x.split("\n") for x in new if "\n" in x}
+        lines = {x: parts for x, parts in lines.items() if all(parts) and not OTHER_SPACE.search(x)}
+        if lines:
+            self._learn(self.pieces, {p for parts in lines.values() for p in parts[not not before:]}, "")
+            self._learn(known, {parts[0] for parts in lines.values()}, before)
+            for x, parts in lines.items():
+                known[x] = known[parts[0]] + b"".join(self.feed + self.pieces[p] for p in parts[1:])
+            new -= known.keys()
+        plain = [x for x in new if x]
+        if SPACE.search(" ".join(plain).replace(" ", "")):
+            plain = [x for x in plain if not SPACE.search(x)]
+        for i in range(0, len(plain), 4096):
+            some = plain[i:i + 4096]
+            joined = before + f"\n{before}".join(some)
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=self.dtype)
+            ends = np.append(np.flatnonzero(ids == self.line), len(ids)).tolist()
+            raw, width, at = ids.tobytes(), int(self.dtype[2]), 0
+            if len(ends) != len(some):
+                raise ValueError("the vocabulary doesn't keep line feeds apart")
+            for piece, end in zip(some, ends, strict=True):
+                known[piece] = raw[at * width:end * width]
+                at = end + 1
+        for x in new - known.keys():
+            known[x] = self._direct(before + x)
+
+    def _direct(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text, side by side."""
+        whole = pc.match_substring_regex(texts, UNEVEN)
+        for x in self.special:
+            whole = pc.or_(whole, pc.match_substring(texts, x))
+        whole = whole.to_numpy(zero_copy_only=False)
         out = [b""] * len(texts)
-        for i, x in even.items():
-            out[i] = self.pieces[x[0]] + b"".join(map(self.after.__getitem__, x[1:]))
-        for i, x in others.items():
-            out[i] = b"".join(map(self.pieces.__getitem__, x))
-        for i, text in whole.items():
-            out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
-        if len(self.after) > REMEMBERED:
-            self.after = {x: self.after[x] for x in later}
-        if len(self.pieces) > REMEMBERED // 4:
-            self.pieces = {}
+        for i in np.flatnonzero(whole).tolist():
+            out[i] = self._uneven(texts[i].as_py())
+        even = np.flatnonzero(~whole)
+        if len(even):
+            for i, code in zip(even.tolist(), self._even(texts.take(pa.array(even))), strict=True):
+                out[i] = code
+        if len(self.after) + len(self.pieces) > REMEMBERED:
+            self.older = {"": self.pieces, " ": self.after}
+            self.pieces, self.after = {}, {}
         return out
 
+    def _uneven(self, text: str) -> bytes:
+        if any(x in text for x in self.special):
+            return self._direct(text)
+        pieces = PIECE.split(text)
+        self._learn(self.pieces, set(pieces), "")
+        return b"".join(map(self.pieces.__getitem__, pieces))
+
+    def _even(self, texts: pa.Array) -> list[bytes]:
+        """Texts in which every space begins a piece: all words are numbered, each different one is coded once."""
+        split = pc.split_pattern(texts, " ")
+        first = split.offsets.to_numpy()[:-1] - split.offsets[0].as_py()
+        words = split.flatten()
+        begin = words.take(pa.array(first)).to_pylist()
+        coded = words.dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        number = coded.indices.to_numpy().astype(np.int64)
+        later = np.ones(len(number), dtype=bool)
+        later[first] = False
+        used = np.zeros(len(different), dtype=bool)
+        used[number[later]] = True
+        self._learn(self.after, {x for x, u in zip(different, used.tolist(), strict=True) if u}, " ")
+        self._learn(self.pieces, set(begin), "")
+        number[first] = len(different) + np.arange(len(begin))
+        codes = [self.after.get(x, b"") for x in different] + [self.pieces[x] for x in begin]
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // int(self.dtype[2])
+        starts = np.cumsum(sizes) - sizes
+        ids = np.frombuffer(b"".join(codes), dtype=self.dtype)
+        n = sizes[number]
+        ends = np.cumsum(n)
+        ids = ids[np.repeat(starts[number] - (ends - n), n) + np.arange(ends[-1])]
+        cuts = (ends - n)[first].tolist() + [len(ids)]
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
+
 
 def _coder(path: str) -> Coder:
     if path not in _coders:
@@ -109,12 +177,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
             sizes = np.asarray(batch.column(1).cast(pa.large_binary()).to_pandas().map(len)) if len(batch) else []
             while at < len(batch):
                 stop, some = at, 0
-                while stop < len(batch) and (stop == at or some < FILE_BYTES // 4):
+                while stop < len(batch) and (stop == at or some < CHUNK_BYTES):
                     some += int(sizes[stop])
                     stop += 1
                 part = batch.slice(at, stop - at)
                 keys += part.column(0).to_pylist()
-                for code in coder.encode(part.column(1).to_pylist()):
+                for code in coder.encode(part.column(1)):
                     codes.append(code + end)
                     size += len(code)
                 at = stop
