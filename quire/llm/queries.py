@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quire.llm.decontaminate import find_items
 from quire.llm.html_text import extract_text
+from quire.llm.minhash_dedup import minhash_dedup
 from quire.llm.mixing import select_mix
 from quire.llm.mixing_sql import mixture_sql
 from quire.llm.substring_dedup import substring_dedup
@@ -77,6 +78,11 @@ def op6(spark, sf_dir):
     return extract_text(table(spark, sf_dir, "pages"))
 
 
+@query("op8_minhash_dedup")
+def op8(spark, sf_dir):
+    return minhash_dedup(table(spark, sf_dir, "documents"), width=4)
+
+
 @query("op9_suffix_dedup")
 def op9(spark, sf_dir):
     return suffix_dedup(table(spark, sf_dir, "documents")).select(
