@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.decontaminate import find_items
+from quire.llm.embedding_dedup import embedding_dedup
+from quire.llm.hmm_lm import hmm_scores
 from quire.llm.html_text import extract_text
 from quire.llm.minhash_dedup import minhash_dedup
 from quire.llm.mixing import select_mix
@@ -66,6 +68,11 @@ def op3(spark, sf_dir):
     return score_documents(docs, model).select("doc_id", (remainder == 1).alias("held_out"), "score", "predicted")
 
 
+@query("op4_hmm_lm")
+def op4(spark, sf_dir):
+    return hmm_scores(table(spark, sf_dir, "documents"))
+
+
 @query("op5_token_files")
 def op5(spark, sf_dir):
     path = new_run_dir(spark, "tokens")
@@ -78,6 +85,11 @@ def op6(spark, sf_dir):
     return extract_text(table(spark, sf_dir, "pages"))
 
 
+@query("op7_embedding_dedup")
+def op7(spark, sf_dir):
+    return embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 @query("op8_minhash_dedup")
 def op8(spark, sf_dir):
     return minhash_dedup(table(spark, sf_dir, "documents"), width=4)
