@@ -2,20 +2,71 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quire.llm.decontaminate import drop_contaminated
+from quire.llm.minhash_dedup import minhash_dedup
+from quire.llm.mixing import keep_mix
+from quire.llm.token_files import read_tokens, write_tokens
+from quire.llm.toxicity import drop_toxic, train
 from quire.session import new_run_dir
 from registry.base import ship_package, table
 
-STAGES: list = []
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: Shares of the languages, in parts of a hundred; the sources of a language share alike.
+WEIGHTS = {f"web/{lang}": share for lang, share in (("en", 55), ("de", 20), ("fr", 15), ("es", 10))}
+#: The mixture holds so much of the tokens that are left.
+SHARE = (8, 10)
 
-#: No stage but the mixture can be said in SQL.
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that models learnt from all labels of these documents reject."""
+    ship_package(spark)
+    return drop_toxic(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each group; rows without an id all stay."""
+    ship_package(spark)
+    gone = minhash_dedup(docs).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold an item of ``benchmark``."""
+    ship_package(spark)
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep of each source and language what the target weights ask for, at most one epoch."""
+    return keep_mix(docs, WEIGHTS, F.lit("web"), share=SHARE)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Write the token files and return what they say of each document."""
+    ship_package(spark)
+    path = new_run_dir(spark, "tokens")
+    write_tokens(docs, path, TOKENIZER)
+    return read_tokens(spark, path)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("token_output", token_output),
+]
+
+#: Near duplicates, models and tokens can't be said in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, one after the other."""
-    ship_package(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = new_run_dir(spark, f"stage-{name}")
