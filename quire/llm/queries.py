@@ -15,6 +15,7 @@ from quire.llm.html_text import extract_text
 from quire.llm.minhash_dedup import minhash_dedup
 from quire.llm.mixing import select_mix
 from quire.llm.mixing_sql import mixture_sql
+from quire.llm.oracles import SHINGLES, SUBSTRINGS, VECTORS
 from quire.llm.substring_dedup import substring_dedup
 from quire.llm.suffix_dedup import suffix_dedup
 from quire.llm.token_files import read_tokens, write_tokens
@@ -48,7 +49,7 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query("op1_substring_dedup")
+@query("op1_substring_dedup", SUBSTRINGS)
 def op1(spark, sf_dir):
     return substring_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
@@ -85,12 +86,12 @@ def op6(spark, sf_dir):
     return extract_text(table(spark, sf_dir, "pages"))
 
 
-@query("op7_embedding_dedup")
+@query("op7_embedding_dedup", VECTORS)
 def op7(spark, sf_dir):
     return embedding_dedup(table(spark, sf_dir, "embeddings"))
 
 
-@query("op8_minhash_dedup")
+@query("op8_minhash_dedup", SHINGLES)
 def op8(spark, sf_dir):
     return minhash_dedup(table(spark, sf_dir, "documents"), width=4)
 
