@@ -6,8 +6,9 @@ of registers find candidates, the share of equal registers, corrected for those
 chance, estimates their similarity, and what is left is compared on full sets.
 
 Documents with equal sets are one node throughout. A band with few nodes gives all their
-pairs; one with many gives pairs with a few centres, and once components are known, the pairs
-between nodes that are still apart. No pair within a component found so far is ever made.
+pairs; one with many gives pairs with a few centres and with some others drawn by hash, and once
+components are known, the pairs between nodes that are still apart. So a group of many near copies
+is linked by a few pairs of each, and no link is lost.
 """
 
 from __future__ import annotations
@@ -29,7 +30,15 @@ EMPTY = 0xFFFF
 FEW = 24
 #: Standard errors below the threshold at which an estimate rules a pair out.
 MARGIN = 4.5
+#: Others that each node of a large band is first compared with, besides its centre.
+NEIGHBOURS = 2
 GROUP = 128
+#: Nodes of a cluster that are compared with as many others in one task.
+CHUNK = 512
+SETS = "group long, part long, node long, root long, main long, members binary"
+#: For each register the order in which an empty one looks for a full one.
+LENDERS = np.argsort(mix(np.arange(REGISTERS * REGISTERS, dtype=np.uint64) + np.uint64(1)).reshape(REGISTERS, REGISTERS), axis=1)
+LENDERS = np.concatenate([np.arange(REGISTERS)[:, None], LENDERS], axis=1)
 UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -94,28 +103,38 @@ def sketches(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
     return rows.mapInArrow(sketch, "doc_id long, n_shingles long, node long, registers binary")
 
 
+def filled(own: np.ndarray) -> np.ndarray:
+    """Rows of registers in which each empty one takes the value of the first full one in an order of its own.
+
+    Else the bands of a short text would hold one register each, and agree for all that share a phrase.
+    """
+    out = own.copy()
+    for i in range(0, len(own), 64):
+        full = own[i:i + 64] != EMPTY
+        out[i:i + 64] = np.take_along_axis(own[i:i + 64], LENDERS[np.arange(REGISTERS), full[:, LENDERS].argmax(axis=2)], axis=1)
+    return out
+
+
 def _bands(nodes: DataFrame) -> DataFrame:
-    """(band, node, n): one row for each band of a node that isn't empty."""
+    """(band, node, n): one row for each band of a node."""
 
     def bands(batches):
         for batch in batches:
             if not len(batch):
                 continue
-            own = np.frombuffer(b"".join(batch.column("registers").to_pylist()), "<u2").reshape(len(batch), BANDS, ROWS)
-            full = (own != EMPTY).any(axis=2)
+            own = filled(np.frombuffer(b"".join(batch.column("registers").to_pylist()), "<u2").reshape(len(batch), REGISTERS)).reshape(len(batch), BANDS, ROWS)
             key = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(batch), 1))
             for i in range(ROWS):
                 key = mix(key + own[:, :, i].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            row, _ = np.nonzero(full)
             yield pa.record_batch(
-                [pa.array(key[full].view(np.int64)), pa.array(batch.column("node").to_numpy()[row]), pa.array(batch.column("n_shingles").to_numpy()[row])],
+                [pa.array(key.view(np.int64).ravel()), pa.array(np.repeat(batch.column("node").to_numpy(), BANDS)), pa.array(np.repeat(batch.column("n_shingles").to_numpy(), BANDS))],
                 names=["band", "node", "n"],
             )
 
     return nodes.select("node", "n_shingles", "registers").mapInArrow(bands, "band long, node long, n long")
 
 
-def _centres(node: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+def _centres(n: np.ndarray, percent: int) -> np.ndarray:
     """For nodes in order of size: the place of each one's centre, the first it can be similar to."""
     out = np.empty(len(n), dtype=np.int64)
     at = 0
@@ -126,34 +145,32 @@ def _centres(node: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
     return out
 
 
-def _pairs(members: DataFrame, percent: int) -> DataFrame:
-    """The pairs of each band: with ``root``, those between nodes of large bands that are still apart."""
-    again = "root" in members.columns
+def _few_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """All pairs of each band that may be similar by size."""
+    a, b = members.toDF("band", "a", "na"), members.toDF("band", "b", "nb")
+    near = f"a < b AND na * 100 >= nb * {percent} AND nb * 100 >= na * {percent}"
+    return a.join(b, "band").where(near).select("a", "b")
+
+
+def _many_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of the nodes of each band with a centre, and with their next ones in a shuffled row."""
 
     def pairs(table: pa.Table) -> pa.Table:
         node, n = table.column("node").to_numpy(), table.column("n").to_numpy()
         order = np.lexsort((node, n))
         node, n = node[order], n[order]
-        low, high = [], []
-        if not again and len(node) > FEW:
-            centre = _centres(node, n, percent)
-            low, high = [node[centre]], [node]
-        elif not again:
-            a, b = np.triu_indices(len(node), 1)
-            near = n[a] * 100 >= n[b] * percent
-            low, high = [node[a[near]]], [node[b[near]]]
-        else:
-            root = table.column("root").to_numpy()[order]
-            for i in range(len(node)):
-                end = int(np.searchsorted(n, n[i] * 100 // percent, "right"))
-                apart = i + 1 + np.flatnonzero(root[i + 1:end] != root[i])
-                low.append(np.full(len(apart), node[i]))
-                high.append(node[apart])
-        low, high = np.concatenate(low).astype(np.int64), np.concatenate(high).astype(np.int64)
+        low, high = [node[_centres(n, percent)]], [node]
+        turn = np.argsort(mix(node.view(np.uint64) ^ table.column("band").to_numpy().view(np.uint64)))
+        for step in range(1, NEIGHBOURS + 1):
+            a, b = turn[:-step], turn[step:]
+            near = np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * percent
+            low.append(node[a[near]])
+            high.append(node[b[near]])
+        low, high = np.concatenate(low), np.concatenate(high)
         keep = low != high
         return pa.table({"a": pa.array(np.minimum(low, high)[keep]), "b": pa.array(np.maximum(low, high)[keep])})
 
-    return members.groupBy("band").applyInArrow(pairs, "a long, b long").distinct()
+    return members.groupBy("band").applyInArrow(pairs, "a long, b long")
 
 
 def _similar(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -174,16 +191,12 @@ def _similar(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(near, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
-    """The pairs that are similar on their full sets.
+def _with_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """(group, part, node, root, main, members): each node's full set for each group it is in.
 
-    Each node's set is made from the text of one of its documents, and sent to the groups of pairs
-    it is in: those of a smaller node, in parts of at most GROUP others.
+    ``wanted`` has group, part, node, root and main. The set is made anew from the text of one of the node's documents.
     """
-    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).cast("long").alias("parts"))
-    numbered = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
-    wanted = numbered.select(F.col("b").alias("node"), "a", "part").unionByName(numbered.select(F.col("a").alias("node"), "a", "part").distinct())
-    wanted = wanted.groupBy("node").agg(F.collect_list(F.struct("a", "part")).alias("groups")).join(nodes.select("node", "doc_id"), "node")
+    lists = wanted.groupBy("node").agg(F.collect_list(F.struct("group", "part", "root", "main")).alias("groups")).join(nodes.select("node", "doc_id"), "node")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
 
     def sets(batches):
@@ -194,15 +207,23 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int
                     continue
                 for i in range(0, len(groups), GROUP):
                     some = groups[i:i + GROUP]
-                    yield pa.record_batch(
-                        [pa.array([x["a"] for x in some], pa.int64()), pa.array([x["part"] for x in some], pa.int64()), pa.array([node] * len(some), pa.int64()),
-                         pa.array([own.astype("<u8").tobytes()] * len(some), pa.binary())],
-                        names=["a", "part", "node", "members"],
-                    )
+                    columns = [[x[c] for x in some] for c in ("group", "part", "root", "main")]
+                    columns.insert(2, [node] * len(some))
+                    yield pa.record_batch([*(pa.array(x, pa.int64()) for x in columns), pa.array([own.astype("<u8").tobytes()] * len(some), pa.binary())], names=["group", "part", "node", "root", "main", "members"])
+
+    return lists.join(rows, "doc_id").select("node", "groups", "text").mapInArrow(sets, SETS)
+
+
+def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
+    """The pairs that are similar on their full sets; those of a node are compared in parts of about GROUP others."""
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).cast("long").alias("parts"))
+    numbered = pairs.join(parts, "a").select(F.col("a").alias("group"), F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), F.col("b").alias("node"))
+    wanted = numbered.unionByName(numbered.select("group", "part", F.col("group").alias("node")).distinct())
+    wanted = wanted.withColumn("root", F.lit(0).cast("long")).withColumn("main", F.lit(0).cast("long"))
 
     def compare(table: pa.Table) -> pa.Table:
-        key = table.column("a")[0].as_py()
-        own = {n: np.frombuffer(x, "<u8") for n, x in zip(table.column("node").to_pylist(), table.column("members").to_pylist(), strict=True)}
+        key = table.column("group")[0].as_py()
+        own = _members(table)
         hub = own.pop(key)
         found = []
         for node, other in own.items():
@@ -211,8 +232,54 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int
                 found.append(node)
         return pa.table({"a": pa.array([key] * len(found), pa.int64()), "b": pa.array(found, pa.int64())})
 
-    sent = wanted.join(rows, "doc_id").select("node", "groups", "text").mapInArrow(sets, "a long, part long, node long, members binary")
-    return sent.groupBy("a", "part").applyInArrow(compare, "a long, b long")
+    return _with_sets(wanted, nodes, docs, width, id_col, text_col).groupBy("group", "part").applyInArrow(compare, "a long, b long")
+
+
+def _members(table: pa.Table) -> dict[int, np.ndarray]:
+    return {n: np.frombuffer(x, "<u8") for n, x in zip(table.column("node").to_pylist(), table.column("members").to_pylist(), strict=True)}
+
+
+def _rest(large: DataFrame, roots: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
+    """The links between nodes of large bands that are still apart, all compared on full sets.
+
+    Bands that share nodes make a cluster, whose nodes are compared chunk against chunk; only links
+    leave a task. Nodes of the cluster's commonest component aren't compared with each other.
+    """
+    apart = large.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    mixed = apart.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("hub")).where("low <> high").select("band", "hub")
+    apart = apart.join(mixed, "band").select("node", "root", "hub").distinct()
+    clusters = components(apart.select(F.col("node").alias("a"), F.col("hub").alias("b"))).select("node", F.col("root").alias("group"))
+    members = apart.select("node", "root").distinct().join(clusters, "node")
+    main = members.groupBy("group", "root").count().groupBy("group").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.ceil(F.sum("count") / CHUNK).cast("long").alias("chunks"))
+    own = F.pmod(F.xxhash64("node"), F.col("chunks"))
+    pairs = members.join(main, "group").withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0L, chunks - 1)")))
+    # the part holds both chunks, and in its last bit the one the node is in
+    part = (F.least("own", "other") * F.col("chunks") + F.greatest("own", "other")) * 2 + (F.col("own") > F.col("other")).cast("long")
+    wanted = pairs.select("group", part.alias("part"), "node", "root", "main")
+
+    def compare(table: pa.Table) -> pa.Table:
+        root, main = table.column("root").to_numpy(), table.column("main")[0].as_py()
+        node, side = table.column("node").to_numpy(), table.column("part").to_numpy() & 1
+        sets = [np.frombuffer(x, "<u8") for x in table.column("members").to_pylist()]
+        found = []
+        for this in np.unique(side).tolist():
+            at = np.flatnonzero(side == this)
+            others = np.flatnonzero(side != this) if len(np.unique(side)) > 1 else at
+            values = np.concatenate([sets[i] for i in others])
+            owner = np.repeat(np.arange(len(others)), [len(sets[i]) for i in others])
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], owner[order]
+            size = np.array([len(sets[i]) for i in others])
+            for i in at[root[at] != main].tolist():
+                low, high = np.searchsorted(values, sets[i], "left"), np.searchsorted(values, sets[i], "right")
+                n = high - low
+                common = np.bincount(owner[np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())], minlength=len(others))
+                near = (100 * common >= percent * (size + len(sets[i]) - common)) & (root[others] != root[i])
+                found += [(node[i], x) for x in node[others[near]].tolist()]
+        return pa.table({"a": pa.array([int(x[0]) for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
+
+    sent = _with_sets(wanted, nodes, docs, width, id_col, text_col).withColumn("pair", F.expr("part div 2"))
+    return sent.groupBy("group", "pair").applyInArrow(compare, "a long, b long")
 
 
 def minhash_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,17 +307,11 @@ def minhash_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: st
     shared = written(bands.join(counts, "band"))
     same_id = full.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id")
     same_id = full.join(same_id, "doc_id").join(full.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").select("a", F.col("node").alias("b"))
-    tried = written(_pairs(shared, percent))
+    few, large = shared.where(f"members <= {FEW}").drop("members"), shared.where(f"members > {FEW}").drop("members")
+    tried = written(_few_pairs(few, percent).unionByName(_many_pairs(large, percent)).distinct())
     links = written(_confirmed(written(_similar(tried, nodes, percent)), nodes, docs, percent, width, id_col, text_col).unionByName(same_id))
-    large = shared.where(f"members > {FEW}")
     if large.limit(1).count():
-        roots = components(links)
-        apart = large.join(roots, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root"))
-        mixed = apart.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-        more = _pairs(apart.join(mixed, "band"), percent).join(tried, ["a", "b"], "left_anti")
-        more = written(_similar(more, nodes, percent))
-        if more.limit(1).count():
-            links = links.unionByName(_confirmed(more, nodes, docs, percent, width, id_col, text_col))
+        links = links.unionByName(written(_rest(large, components(links), nodes, docs, percent, width, id_col, text_col)))
     roots = components(links)
     named = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
