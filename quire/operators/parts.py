@@ -73,7 +73,7 @@ def plan_shards(counts: DataFrame, shard_size: int) -> DataFrame:
                     shard, filled = shard + 1, 0
             yield frame.assign(shard_idx=shards)
 
-    ordered = counts.select("pos", "part", "n").coalesce(1).sortWithinPartitions("pos")
+    ordered = counts.select("pos", "part", "n").repartition(1).sortWithinPartitions("pos")
     return ordered.mapInPandas(walk, "pos int, part string, n bigint, shard_idx int")
 
 

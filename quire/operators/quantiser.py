@@ -257,12 +257,18 @@ def train_books(
     check_model_size(sample.sparkSession, 4 * n_codes * dim)
     # Start from distinct vectors with the lowest hashes. They are chosen by two numbers a
     # row; only the chosen vectors are sent to the driver.
-    candidates = hash_sample(sample, min(1.0, 4 * n_codes / n), key, seed).select(
-        F.col(vector).cast("array<float>").alias("v"),
-        F.xxhash64(F.col(key), F.lit(seed)).alias("h"),
-        F.xxhash64(vector).alias("vh"),
-    )
-    chosen = candidates.groupBy("vh").agg(F.min("h").alias("h")).orderBy("h", "vh").limit(n_codes)
+    # Copies leave fewer distinct ones; then more of the sample is looked at.
+    share = 4 * n_codes / n
+    while True:
+        candidates = hash_sample(sample, min(1.0, share), key, seed).select(
+            F.col(vector).cast("array<float>").alias("v"),
+            F.xxhash64(F.col(key), F.lit(seed)).alias("h"),
+            F.xxhash64(vector).alias("vh"),
+        )
+        chosen = candidates.groupBy("vh").agg(F.min("h").alias("h")).orderBy("h", "vh").limit(n_codes)
+        if share >= 1 or chosen.count() >= n_codes:
+            break
+        share *= 8
     starts = (
         candidates.join(F.broadcast(chosen), ["vh", "h"])
         .dropDuplicates(["vh"])

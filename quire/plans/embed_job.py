@@ -4,16 +4,22 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as X
 from quire.functions.embedders import EmbedFn
-from quire.operators import parts as P
 from quire.operators.embedding import embed
+from quire.session import exists
 from quire.sources import ledger, shards, snapshot
 
+#: Parts that are counted at a time to find where a limit is reached.
+COUNTED_AT_A_TIME = 16
+#: Parts that are written and put on record together.
+PARTS_PER_BATCH = 16
+
 
 @dataclass
 class EmbedRun:
@@ -38,7 +44,7 @@ def corpus_rows(
 ) -> DataFrame:
     """Lines parsed, filtered, mapped and given a text: all of the job but the vectors."""
     works = snapshot.parse_works(lines, concept_id=concept_id)
-    return snapshot.with_text(snapshot.map_works(works, concept_id), mode, skip_no_text)
+    return snapshot.with_text(snapshot.map_works(works, concept_id, mode != "title"), mode, skip_no_text)
 
 
 def observed(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
@@ -59,7 +65,7 @@ def run(
     mode: str = "title_abstract",
     skip_no_text: bool = True,
     max_works: int | None = None,
-    parts_per_batch: int | None = None,
+    parts_per_batch: int = PARTS_PER_BATCH,
     rows_per_file: int = shards.SHARD_ROWS,
     resolve=lambda url: url,
 ) -> EmbedRun:
@@ -68,10 +74,13 @@ def run(
     Shards go to ``shards/batch=N`` and the record to ``parts``, in this order: after a
     crash in between, batch ``N`` is written again over its leftovers. ``parts_per_batch``
     bounds what such a crash can cost. With nothing new the call writes nothing.
-    ``max_works`` ends the run after the part that reaches it. ``resolve`` maps the URL of
+    ``max_works`` ends the run after the part that reaches it; later parts aren't read. A folder
+    that a stream writes to is refused. ``resolve`` maps the URL of
     an entry to a path Spark can read.
     """
     X.check_mode(mode)
+    if exists(spark, f"{out_dir}/stream"):
+        raise ValueError(f"{out_dir!r} belongs to a stream")
     began = time.monotonic()
     manifest = snapshot.read_manifest(spark, manifest_path)
     completed = ledger.read_completed(spark, f"{out_dir}/parts")
@@ -90,8 +99,7 @@ def run(
 
     if max_works is not None:
         listed = _up_to(spark, listed, rows_of, max_works)
-    size = parts_per_batch or len(listed)
-    batches = [listed[at : at + size] for at in range(0, len(listed), size)]
+    batches = [listed[at : at + parts_per_batch] for at in range(0, len(listed), parts_per_batch)]
     n_works = 0
     for number, batch in enumerate(batches, start=batch_id):
         rows, seen = observed(rows_of([path for _, _, path in batch]), f"batch-{number}")
@@ -104,16 +112,18 @@ def run(
 
 
 def _up_to(spark, listed, rows_of, max_works):
-    """The leading parts that together reach ``max_works`` rows with text."""
-    files = spark.createDataFrame(
-        [(pos, path.rsplit("/", 2)[-2] + "/" + path.rsplit("/", 1)[-1]) for pos, _, path in listed],
-        "pos int, part string",
-    )
-    rows = rows_of([path for _, _, path in listed])
-    named = rows.select(F.substring_index("part", "/", -2).alias("part"))
-    kept = P.soft_limit(P.part_counts(files, named), max_works)
-    wanted = {r["pos"] for r in kept.select("pos").collect()}
-    return [item for item in listed if item[0] in wanted]
+    """The leading parts that together reach ``max_works`` rows with text; only some more are read."""
+    kept, total = [], 0
+    for at in range(0, len(listed), COUNTED_AT_A_TIME):
+        some = listed[at : at + COUNTED_AT_A_TIME]
+        rows = [rows_of([path]).select(F.lit(pos).alias("pos")) for pos, _, path in some]
+        counts = {r["pos"]: r["count"] for r in reduce(DataFrame.unionByName, rows).groupBy("pos").count().collect()}
+        for item in some:
+            if total >= max_works:
+                return kept
+            kept.append(item)
+            total += counts.get(item[0], 0)
+    return kept
 
 
 def committed_shards(spark: SparkSession, out_dir: str) -> list[str]:

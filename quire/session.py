@@ -44,6 +44,19 @@ def stable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is at ``path``; only the listing is read."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
 def read_if_exists(spark: SparkSession, path: str, schema) -> DataFrame | None:
     """The Parquet table at ``path``, or None when nothing was written there yet."""
     from pyspark.errors import AnalysisException

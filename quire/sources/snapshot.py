@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,9 +86,13 @@ def last_key_wins(m: Column) -> Column:
 def may_carry(value: Column, concept_id: str) -> Column:
     """False only for lines that cannot have the concept: neither its id nor an escaped letter.
 
-    JSON can spell a letter or digit in no other way than plainly or as ``\\u00XX``.
+    JSON can spell a letter or digit in no other way than plainly or as ``\\u00XX``; of an id with
+    other characters, which have more spellings, only what follows the last of them is looked for.
     """
-    return F.contains(value, F.lit(concept_id)) | F.contains(value, F.lit("\\u00"))
+    plain = re.search(r"[A-Za-z0-9]*$", concept_id).group()
+    if not plain:
+        return F.lit(True)
+    return F.contains(value, F.lit(plain)) | F.contains(value, F.lit("\\u00"))
 
 
 def parse_works(
@@ -154,15 +160,18 @@ def read_works_since(spark: SparkSession, root: str, first: str, last: str) -> D
     return parse_works(_non_blank(lines))
 
 
-def map_works(works: DataFrame, concept_id: str | None = X.DEFAULT_CONCEPT) -> DataFrame:
+def map_works(works: DataFrame, concept_id: str | None = X.DEFAULT_CONCEPT, with_abstract: bool = True) -> DataFrame:
     """Works with the concept, projected to the corpus columns plus ``abstract``.
 
-    Columns the raw work does not have, such as ``part``, are carried along.
+    Without ``with_abstract`` that is null, and the inverted index isn't read. Columns the raw work does not have, such as ``part``, are carried along.
     """
     if concept_id is not None:
         works = works.where(X.has_concept(F.col("concepts"), concept_id))
     raw = {f.name for f in schemas.RAW_WORK}
     abstract = X.reconstruct_abstract(F.col("abstract_inverted_index"))
+    if not with_abstract:
+        works = works.drop("abstract_inverted_index")
+        abstract = F.lit(None).cast("string")
     return with_once(works, "abstract", abstract).select(
         *[c for c in works.columns if c not in raw],
         "id",

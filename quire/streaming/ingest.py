@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quire import schemas
@@ -11,6 +12,7 @@ from quire.functions.embedders import EmbedFn
 from quire.operators.embedding import embed
 from quire.plans import index_job
 from quire.plans.embed_job import corpus_rows
+from quire.session import exists
 from quire.sources import ledger, shards, snapshot
 
 
@@ -27,11 +29,18 @@ def ingest_parts(
     """Embed the ``.gz`` parts below ``root`` that earlier runs have not seen.
 
     The stream's checkpoint in ``out_dir`` decides what is new. A micro-batch overwrites
-    ``shards/batch=N`` and then its row in ``parts``, so a repeated one leaves no copies.
-    Re-shipped works are new rows. A part without matching works is on record as well.
+    ``shards/batch=N`` and then its row in ``parts``, so a repeated one leaves no copies; one that
+    is on record keeps its files, by whose names an index knows them. A folder that a
+    job writes to is refused. Re-shipped works are new rows. A part without matching works is on record as well.
     """
 
+    if exists(spark, f"{out_dir}/manifests"):
+        raise ValueError(f"{out_dir!r} belongs to a job")
+
     def write(lines: DataFrame, batch_id: int) -> None:
+        done = ledger.read_completed(spark, f"{out_dir}/parts")
+        if not done.where(F.col("batch_id") == batch_id).isEmpty():
+            return
         rows = corpus_rows(lines, concept_id=concept_id, mode=mode)
         embedded = embed(rows, embed_fn, spread=True)
         shards.write_shards(embedded, f"{out_dir}/shards/batch={batch_id:06d}")

@@ -287,3 +287,85 @@ def test_streams(spark, snap, tmp_path):
     assert len(shard_ids(spark, out)) == 52
     meta = index_job.check_integrity(spark, index)
     assert (meta["n_vectors"], meta["batch"]) == (52, 1)
+
+
+def test_limit_counts_parts_by_place(spark, tmp_path):
+    """Two parts whose last folders and names agree, in a folder with a space."""
+    root = tmp_path / "a b"
+    urls = []
+    for side in ("x", "y"):
+        folder = root / side / "updated_date=2024-01-01"
+        folder.mkdir(parents=True)
+        lines = "\n".join(json.dumps(work(i)) for i in range(20))
+        (folder / "part_000.gz").write_bytes(gzip.compress(lines.encode()))
+        urls.append(f"s3://bucket/{side}/updated_date=2024-01-01/part_000.gz")
+    (root / "manifest.json").write_text(json.dumps({"entries": [{"url": u} for u in urls]}))
+
+    def folder_of(url):
+        return url.replace("s3://bucket", str(root)).rsplit("/", 1)[0]
+
+    run = embed_job.run(spark, str(root / "manifest.json"), str(tmp_path / "out"), EMBED, resolve=folder_of, max_works=10)
+    assert (run.n_parts, run.n_works) == (1, 20)
+    assert embed_job.run(spark, str(root / "manifest.json"), str(tmp_path / "out"), EMBED, resolve=folder_of).n_works == 20
+
+
+def test_url_concept_in_any_spelling(spark, tmp_path):
+    snap = Snapshot(tmp_path / "works")
+    snap.add("2024-01-01", [work(1, concept="https://x.org/C1"), work(2)])
+    part = snap.root / "updated_date=2024-01-01" / "part_000.gz"
+    part.write_bytes(gzip.compress(gzip.decompress(part.read_bytes()).replace(b"https://x.org/C1", b"https:\\/\\/x.org\\/C1")))
+    assert snap.embed(spark, tmp_path / "out", concept_id="https://x.org/C1").n_works == 1
+
+
+def test_title_mode_leaves_abstracts_alone(spark, snap):
+    from quire.sources import snapshot
+
+    lines = snapshot.read_lines(spark, str(snap.root))
+    rows = embed_job.corpus_rows(lines, mode="title")
+    assert "transform" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["text"] for r in rows.where("id LIKE '%/W7'").collect()} == {"Title 7"}
+
+
+def test_shards_without_vectors_are_no_news(spark, tmp_path):
+    empty = spark.createDataFrame([], schemas.SHARD)
+    index, root = str(tmp_path / "index"), tmp_path / "s"
+    shards.write_shards(empty, str(root / "none"))
+    assert index_job.run(spark, str(root), index, FLAT) is None
+    write_vectors(spark, root / "a", range(50))
+    assert index_job.run(spark, str(root), index, FLAT)["shard_count"] == 1
+    assert index_job.run(spark, str(root), index, FLAT) is None
+    write_vectors(spark, root / "b", range(50, 60))
+    grown = index_job.run(spark, [str(root / "none"), str(root / "b")], index, FLAT)
+    assert (grown["n_vectors"], grown["shard_count"], len(grown["last_update_added_shards"])) == (60, 2, 1)
+
+
+def test_a_repeated_stream_batch_is_indexed_once(spark, snap, tmp_path):
+    out, index = tmp_path / "out", str(tmp_path / "index")
+    options = IndexOptions(nlist=2, pq_m=0, iterations=2)
+    ingest_parts(spark, str(snap.root), str(out), EMBED).awaitTermination()
+    index_batches(spark, str(out), index, options).awaitTermination()
+    (out / "stream" / "commits" / "0").unlink()  # the stream's own commit is lost
+    (out / "stream" / "commits" / ".0.crc").unlink()
+    ingest_parts(spark, str(snap.root), str(out), EMBED).awaitTermination()
+    snap.add("2024-03-01", [work(300, concept="C1")])  # a batch without works
+    ingest_parts(spark, str(snap.root), str(out), EMBED).awaitTermination()
+    index_batches(spark, str(out), index, options).awaitTermination()
+    assert index_job.check_integrity(spark, index)["n_vectors"] == 50
+    assert len(shard_ids(spark, out)) == 50
+
+
+def test_job_and_stream_keep_apart(spark, snap, tmp_path):
+    ingest_parts(spark, str(snap.root), str(tmp_path / "s"), EMBED).awaitTermination()
+    with pytest.raises(ValueError, match="belongs to a stream"):
+        snap.embed(spark, tmp_path / "s")
+    snap.embed(spark, tmp_path / "j")
+    with pytest.raises(ValueError, match="belongs to a job"):
+        ingest_parts(spark, str(snap.root), str(tmp_path / "j"), EMBED)
+
+
+def test_copies_do_not_shrink_a_model(spark):
+    from quire.operators.quantiser import train_books
+
+    rows = [(f"c{i}", [1.0, 1.0]) for i in range(3000)] + [(f"d{i}", [float(i), 0.0]) for i in range(100)]
+    sample = spark.createDataFrame(rows, "id string, embedding array<float>")
+    assert train_books(sample, 1, 64, iterations=1).shape == (1, 64, 2)
