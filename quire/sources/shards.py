@@ -47,7 +47,7 @@ def list_shards(spark: SparkSession, path: str) -> DataFrame:
         .select(F.substring_index("path", "/", -1).alias("shard"), "path")
     )
     if listed.isEmpty():
-        raise FileNotFoundError(f"no .parquet shards found in {path!r}")
+        raise FileNotFoundError(f"{path!r} holds no Parquet file")
     return listed
 
 
@@ -66,9 +66,9 @@ def first_dim(vectors: DataFrame, expected: int | None = None) -> int:
     """Length of one vector. Reading all of them is left to the job, which checks each block."""
     row = vectors.where(F.col("embedding").isNotNull()).select(F.size("embedding")).first()
     if row is None:
-        raise RuntimeError("could not determine the embedding dimension: no vectors")
+        raise RuntimeError("without a vector its length is unknown")
     if expected is not None and expected != row[0]:
-        raise RuntimeError(f"dimension mismatch: index has {expected}, vectors have {row[0]}")
+        raise RuntimeError(f"the index takes vectors of {expected} numbers, these have {row[0]}")
     return row[0]
 
 
@@ -80,11 +80,11 @@ def detect_dim(vectors: DataFrame, expected: int | None = None) -> int:
         F.count_if(F.col("embedding").isNull()).alias("nulls"),
     ).first()
     if row["lo"] is None:
-        raise RuntimeError("could not determine the embedding dimension: no vectors")
+        raise RuntimeError("without a vector its length is unknown")
     if row["nulls"] or row["lo"] != row["hi"]:
         raise RuntimeError(
             f"vectors differ in length: {row['lo']} to {row['hi']}, {row['nulls']} missing"
         )
     if expected is not None and expected != row["hi"]:
-        raise RuntimeError(f"dimension mismatch: index has {expected}, vectors have {row['hi']}")
+        raise RuntimeError(f"the index takes vectors of {expected} numbers, these have {row['hi']}")
     return row["hi"]

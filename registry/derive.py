@@ -83,9 +83,9 @@ def _write_works(spark: SparkSession, sf_dir: str, path: str) -> None:
         (d % 35 + 1990).cast("int").alias("publication_year"),
         F.col("source").alias("type"),
         _when(
-            (d % 4 == 0, F.array(concept(BASE + X.DEFAULT_CONCEPT, "A"), concept(BASE + "C12345", "B"))),
+            (d % 4 == 0, F.array(concept(BASE + X.DEFAULT_CONCEPT, "A"), concept(BASE + "C777", "B"))),
             (d % 4 == 1, F.array(concept(X.DEFAULT_CONCEPT, "A"))),
-            (d % 4 == 2, F.array(concept(BASE + "C99999", "C"))),
+            (d % 4 == 2, F.array(concept(BASE + "C778", "C"))),
         ).alias("concepts"),
         F.struct(
             F.when(d % 3 == 1, link("https://landing.example.org/")).alias("landing_page_url")

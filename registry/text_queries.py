@@ -22,7 +22,7 @@ def concept_filter(spark, sf):
 
 @query("concept_filter_param", f"{WITH} SELECT id FROM w WHERE doc_id % 4 = 0")
 def concept_filter_param(spark, sf):
-    return D.works(spark, sf).where(X.has_concept(F.col("concepts"), "C12345")).select("id")
+    return D.works(spark, sf).where(X.has_concept(F.col("concepts"), "C777")).select("id")
 
 
 @query("map_work", f"""{WITH} SELECT part, id, doi, title, language, publication_year, type, abstract FROM w""")

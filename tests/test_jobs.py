@@ -174,7 +174,7 @@ def test_index_job_life(spark, tmp_path):
     assert (rebuilt["build"], rebuilt["n_vectors"], rebuilt["batch"]) == ("000002", 130, 0)
 
     write_vectors(spark, root / "c", range(5), dim=8)
-    with pytest.raises(RuntimeError, match="dimension mismatch"):
+    with pytest.raises(RuntimeError, match="the index takes"):
         index_job.run(spark, str(root), index)
 
 
