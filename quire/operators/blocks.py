@@ -2,7 +2,8 @@
 
 A join of queries with candidates would emit every pair as a row. Here both sides are
 packed first, at most ``BLOCK_ROWS`` vectors to a row, and the join emits pairs of
-blocks. Each pair is one matrix product whose best hits alone leave the task.
+blocks. Each pair is one matrix product; a task merges the best hits of its pairs, so that at
+most ``k`` rows for each query it scored leave it.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from quire.session import broadcast_limit
 
 #: Vectors in a block: a pair of blocks scores in 32 MB.
 BLOCK_ROWS = 2048
+#: Hits a task holds before it merges them, and half of what it sends on early.
+HELD_ROWS = 1 << 20
 #: Copies of the query blocks, and classes of the candidate blocks, in a shuffled join.
 SALTS = 16
 
@@ -102,7 +105,7 @@ def join_blocks(query_blocks: DataFrame, blocks: DataFrame, key: str, query_byte
 
 
 def score_pairs(pairs: DataFrame, score, k: int, metric: str, dtype: str) -> DataFrame:
-    """``(query_id, id, score)``: the ``k`` best candidates of each block pair per query.
+    """``(query_id, id, score)``: the ``k`` best candidates of each task per query.
 
     ``score(vectors, payload, n)`` gives the score matrix of float64 query vectors and the
     ``n`` candidates of a block; ``dtype`` is how the query vectors were packed. Ties go to
@@ -116,8 +119,8 @@ def score_pairs(pairs: DataFrame, score, k: int, metric: str, dtype: str) -> Dat
     id_type = pairs.schema["ids"].dataType.elementType
 
     def run(batches):
+        held, n = [], 0
         for batch in batches:
-            hits = []
             for i in range(batch.num_rows):
                 query_ids, ids = batch.column(0)[i].values, batch.column(2)[i].values
                 order = ids.to_numpy(zero_copy_only=False)
@@ -128,14 +131,22 @@ def score_pairs(pairs: DataFrame, score, k: int, metric: str, dtype: str) -> Dat
                 s = score(vectors, batch.column(3)[i].as_py(), len(ids))[:, order] + base
                 columns = best(s, k, metric)
                 rows = np.repeat(np.arange(len(query_ids)), columns.shape[1])
-                hits.append((
-                    query_ids.take(pa.array(rows)),
-                    ids.take(pa.array(order[columns.ravel()])),
-                    pa.array(np.take_along_axis(s, columns, axis=1).ravel()),
+                held.append(pa.RecordBatch.from_arrays(
+                    [
+                        query_ids.take(pa.array(rows)),
+                        ids.take(pa.array(order[columns.ravel()])),
+                        pa.array(np.take_along_axis(s, columns, axis=1).ravel()),
+                    ],
+                    names=["query_id", "id", "score"],
                 ))
-            if hits:
-                merged = [pa.concat_arrays(column) for column in zip(*hits)]
-                yield pa.RecordBatch.from_arrays(merged, names=["query_id", "id", "score"])
+                n += len(rows)
+                if n > HELD_ROWS:
+                    held = merged(held, k, metric)
+                    n = sum(x.num_rows for x in held)
+                    if n > HELD_ROWS // 2:  # of so many queries that merging saves little
+                        yield from held
+                        held, n = [], 0
+        yield from merged(held, k, metric)
 
     schema = T.StructType(
         [
@@ -147,6 +158,18 @@ def score_pairs(pairs: DataFrame, score, k: int, metric: str, dtype: str) -> Dat
     return pairs.select(*names).mapInArrow(run, schema)
 
 
+def merged(hits: list[pa.RecordBatch], k: int, metric: str) -> list[pa.RecordBatch]:
+    """The ``k`` best hits of each query."""
+    if not hits:
+        return []
+    order = "descending" if metric == "ip" else "ascending"
+    table = pa.Table.from_batches(hits).sort_by([("query_id", "ascending"), ("score", order), ("id", "ascending")])
+    queries = table.column("query_id").combine_chunks().dictionary_encode().indices.to_numpy()
+    starts = np.flatnonzero(np.append(True, queries[1:] != queries[:-1]))
+    rank = np.arange(len(queries)) - np.repeat(starts, np.diff(np.append(starts, len(queries))))
+    return table.filter(pa.array(rank < k)).combine_chunks().to_batches()
+
+
 def score_order(metric: str) -> list[Column]:
     """Better scores first, then the lower id."""
     score = F.col("score")
