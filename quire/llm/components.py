@@ -42,11 +42,15 @@ def _thin(links: DataFrame) -> DataFrame:
     return links.mapInArrow(thin, "a long, b long")
 
 
-def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
+#: So many links are joined in one task at most; of more, each task joins its own before the rounds.
+LOCAL_LINKS = 200_000
+
+
+def components(links: DataFrame, most_rounds: int = 50, local_links: int = LOCAL_LINKS) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b): root is the smallest node it reaches.
 
     Null ends and links from a node to itself are ignored. Each round is written to the shared
-    folder. Only sums come to the driver.
+    folder. Only sums come to the driver. Up to ``local_links`` links need no rounds.
     """
     spark = links.sparkSession
 
@@ -56,6 +60,9 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
         return spark.read.schema("a long, b long").parquet(path)
 
     links = links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+    links = written(links)
+    if links.count() <= local_links:
+        return _with_roots(written(_thin(links.coalesce(1))))
     stars = written(_thin(links).distinct())
     before = None
     for _ in range(most_rounds):
@@ -74,5 +81,9 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
         before = now
     else:
         raise RuntimeError("components did not settle")
+    return _with_roots(stars)
+
+
+def _with_roots(stars: DataFrame) -> DataFrame:
     roots = stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(stars.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
