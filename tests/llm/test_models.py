@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quire.llm import hmm_lm
 from quire.llm.components import components, local_roots
@@ -57,6 +58,43 @@ def test_toxicity_without_a_class(spark, spoken):
     assert {r.score for r in score_documents(spoken.limit(3), None).collect()} == {0.0}
 
 
+def told_apart(spark, rows, texts):
+    """Scores of ``texts`` by a model learnt from (id, text, toxic) rows."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    model = train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.score for r in score_documents(asked, model).orderBy("doc_id").collect()]
+
+
+def kept_out(i):
+    return zlib.crc32(f"fit{i}".encode()) % 4 == 0
+
+
+def test_toxicity_knows_more_words_than_any_fixed_number(spark):
+    words = [f"w{i}" for i in range(31_000)]
+    # each of them ten times in either class, more often than the toxic word
+    rows = [" ".join(words[i::100]) for _ in range(20) for i in range(100)]
+    rows = [(i, x, i // 100 % 2) for i, x in enumerate(rows)]
+    seen = [i for i, _, toxic in rows if toxic and not kept_out(i)][:4]
+    bad = [i for i, _, toxic in rows if toxic]
+    rows = [(i, x + " vile" * (i in seen) + " nasty" * (i in bad), toxic) for i, x, toxic in rows]
+    vile, unknown = told_apart(spark, rows, ["w1 vile w2", "w1 unheard w2"])
+    assert vile > unknown
+
+
+def test_toxicity_without_broadcasts(spark, spoken, no_broadcast):
+    labels = spoken.where("doc_id < 300").select("doc_id", "toxic")
+    docs = spoken.withColumn("text", F.expr("IF(doc_id = 7, NULL, text)")).repartition(5)
+    asked = train(docs, labels)
+    shuffled = sorted(score_documents(docs, asked).collect())
+    kept = sorted(drop_toxic(docs, asked).select("doc_id", "score").collect())
+    spark.conf.set("quire.broadcast.maxBytes", str(1 << 28))
+    sent = train(docs, labels)
+    assert shuffled == sorted(score_documents(docs, sent).collect()) and len(shuffled) == 400
+    assert kept == sorted(drop_toxic(docs, sent).select("doc_id", "score").collect())
+    assert score_documents(docs.limit(0), asked).count() == 0
+
+
 def test_logistic_fit_is_stationary():
     rng = np.random.default_rng(1)
     x = rng.standard_normal((500, 2)) * [3, 0.1] + [1, 5]
