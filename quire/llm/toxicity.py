@@ -33,7 +33,6 @@ DISCOUNT = 0.75
 #: Bigrams lose more, as a few copies of a text repeat all of its bigrams; rarer ones back off. So much
 #: in the smaller class and as large a share of the larger one, so that its size is no sign of a class.
 BIGRAM_DISCOUNT = 3.0
-LEAST_BIGRAM = 50
 #: Share of all words that a context must make up for its bigrams to weigh as much as their backoff.
 CONTEXT = 0.05
 #: Continuations of the smaller class that the even backoff, the same for both classes, is worth to a word.
@@ -188,7 +187,7 @@ def _counts(labelled: DataFrame) -> DataFrame:
         for m, counts in enumerate((each[:2], [each[0] + each[2], each[1] + each[3]])):
             sums = [np.bincount(of, weights=x, minlength=len(words)).astype(np.int64) for c in counts for x in (c, c > 0)]
             out.append(_rows(m, None, None, words, sums[0], sums[2], sums[1], sums[3]))
-            kept = np.flatnonzero(counts[0] + counts[1] >= LEAST_BIGRAM)
+            kept = np.flatnonzero(np.maximum(*counts) > BIGRAM_DISCOUNT)
             out.append(_rows(m, pair[kept], before[kept], after[kept], counts[0][kept], counts[1][kept], None, None))
         return pa.concat_tables(out)
 

@@ -95,6 +95,20 @@ def test_toxicity_without_broadcasts(spark, spoken, no_broadcast):
     assert score_documents(docs.limit(0), asked).count() == 0
 
 
+def test_toxicity_of_phrases_of_ordinary_words(spark):
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(400):
+        own = rnd.choices(words, k=30)
+        # both classes hold both words, toxic texts next to each other
+        at = rnd.randrange(28)
+        own[at:at] = ["go", "home"] if i % 10 == 0 else ["go", "w1", "home"] if i % 10 < 5 else ["home", "w1", "go"]
+        rows.append((i, " ".join(own), int(i % 10 == 0)))
+    together, apart = told_apart(spark, rows, ["w3 w4 go home w5 w6", "w3 go w4 w5 home w6"])
+    assert together > apart
+
+
 def test_logistic_fit_is_stationary():
     rng = np.random.default_rng(1)
     x = rng.standard_normal((500, 2)) * [3, 0.1] + [1, 5]
