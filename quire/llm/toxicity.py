@@ -123,7 +123,7 @@ def train(docs: DataFrame, labels: DataFrame, options: Options | None = None, id
 
     A document with several labels takes the highest; null labels and ids don't count. The weights
     are fitted on at most ``calibration_rows`` documents, a quarter at most, by models counted
-    without these.
+    without these; then the models take all labelled documents.
     """
     options = options or Options()
     spark = docs.sparkSession
@@ -138,7 +138,8 @@ def train(docs: DataFrame, labels: DataFrame, options: Options | None = None, id
     rows.join(known, "id").select("text", "toxic", order.alias("hash")).withColumn("held", F.expr(f"hash % 4 = 0 AND hash < {bound}")).write.parquet(path)
     labelled = spark.read.parquet(path)
     counts = _counts(labelled)
-    part = _model(counts, 0)
+    # without the rows kept out, and with them
+    part, whole = (_model(counts, m) for m in (0, 1))
     if part is None:
         return None
     fit = labelled.where("held")
@@ -150,8 +151,8 @@ def train(docs: DataFrame, labels: DataFrame, options: Options | None = None, id
         return pa.record_batch([batch.column(1), pa.array([x[0] for x in found], pa.float64()), pa.array([x[1] for x in found], pa.float64())], names=["toxic", "mean", "told"])
 
     data = np.array([tuple(r) for r in _measure(chosen, part, "text", measured, "toxic int, mean double, told double").collect()])
-    part.weights = fit_logistic(data[:, 1:], data[:, 0])
-    return part
+    whole.weights = fit_logistic(data[:, 1:], data[:, 0])
+    return whole
 
 
 def _counts(labelled: DataFrame) -> DataFrame:

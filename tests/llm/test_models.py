@@ -109,6 +109,17 @@ def test_toxicity_of_phrases_of_ordinary_words(spark):
     assert together > apart
 
 
+def test_toxicity_counts_what_the_weights_were_fitted_on(spark):
+    rnd = random.Random(6)
+    words = [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(600):
+        toxic = i % 5 == 0
+        rows.append((i, talk(rnd, words, 20, ["nasty", *["vile"] * kept_out(i)] if toxic else ()), int(toxic)))
+    vile, unknown = told_apart(spark, rows, ["w1 vile w2", "w1 unheard w2"])
+    assert vile > unknown
+
+
 def test_logistic_fit_is_stationary():
     rng = np.random.default_rng(1)
     x = rng.standard_normal((500, 2)) * [3, 0.1] + [1, 5]
