@@ -1,11 +1,12 @@
-"""Removal of byte strings that an earlier document holds, by longest-previous-factor arrays.
+"""Removal of byte strings that an earlier document holds, by groups of suffixes with equal heads.
 
-A string of 50 bytes is removed from a document if its longest previous factor, the longest match
-with a document of smaller id, is at least 50 bytes. In suffix order that match is with the nearest
-suffix before or after that belongs to a smaller id. Suffixes that agree in 50 bytes hold the same
-minimizer, so suffixes are dealt to buckets by their minimizer, in runs of neighbouring suffixes
-that share it, and every bucket sorts its own. Only suffixes around a context that occurs
-in more than one document are dealt at all.
+A string of 50 bytes is removed from a document if a document of smaller id holds it too. No
+longest-previous-factor array is built: only whether the longest match reaches 50 bytes counts, and
+for that it is enough to sort suffixes by their first 50 bytes and to take the smallest id of
+each group of equal ones. Suffixes that agree in 50 bytes hold the same minimizer, so suffixes are
+dealt to buckets by their minimizer, in runs of neighbouring suffixes that share it, and every
+bucket sorts its own. Only suffixes around a context that occurs in more than one document are
+dealt at all.
 """
 
 from __future__ import annotations
@@ -226,11 +227,10 @@ def earlier(messages: list, length: int) -> list[bytes]:
 
 
 def previous_smaller(text: np.ndarray, suffix: np.ndarray, ids: np.ndarray, length: int) -> np.ndarray:
-    """The smallest id whose suffix has a longest common prefix of ``length`` bytes with each suffix.
+    """The smallest id of a suffix that agrees with each suffix in its first ``length`` bytes.
 
     ``suffix`` comes in the order of ``ids``. The sort is stable, so suffixes that agree in
-    ``length`` bytes stand in the order of their ids: the previous smaller position of a suffix is in
-    its own group if the first of the group has a smaller id, and the next smaller one never is.
+    ``length`` bytes stand in the order of their ids, and the first of them has the smallest.
     """
     head = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, length)[suffix]).view(f"S{length}").ravel()
     order = np.argsort(head, kind="stable")
