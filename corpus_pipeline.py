@@ -28,10 +28,15 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group; rows without an id all stay."""
+    """Keep one row of each group, of the smallest id; rows with equal or null ids are judged by text too."""
     ship_package(spark)
-    gone = minhash_dedup(docs).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    path = new_run_dir(spark, "numbered")
+    docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    groups = minhash_dedup(rows, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
+    stay = groups.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min_by("_row", order).alias("_row"))
+    return rows.join(stay.select("_row"), "_row", "left_semi").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

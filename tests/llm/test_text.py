@@ -228,3 +228,13 @@ def test_pipeline_stages(spark):
     odd = spark.createDataFrame(row, docs.schema)
     for name, stage in corpus_pipeline.STAGES[:3]:
         assert stage(spark, odd, sf).count() == 2, name
+
+
+def test_near_duplicates_of_rows_that_share_or_lack_an_id(spark):
+    texts = [" ".join(f"{x}{i}" for i in range(30)) for x in "abcd"]
+    rows = [(7, texts[0]), (7, texts[0]), (3, texts[1]), (None, texts[1]), (None, texts[2]), (None, texts[2]), (9, texts[3]), (9, texts[0]), (11, None), (11, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    want = [(3, texts[1]), (7, texts[0]), (9, texts[3]), (11, None), (11, None), (None, texts[2])]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(want, key=str)
