@@ -80,9 +80,9 @@ class Tree:
         return found
 
 
-def forest(sample: np.ndarray, total: int, options: Options) -> list[Tree]:
+def forest(sample: np.ndarray, total: int, options: Options, first: int = 0) -> list[Tree]:
     rng = np.random.default_rng(options.seed)
-    trees, first = [], 0
+    trees = []
     for _ in range(options.trees):
         trees.append(Tree(sample, total, first, options, rng))
         first = trees[-1].leaves
@@ -100,7 +100,7 @@ def embedding_dedup(vectors: DataFrame, options: Options | None = None, id_col:
 
     Rows with cosine >= threshold, in double precision, are linked; component_id is the smallest
     vec_id reachable, and the row with that id is kept. Null vectors, those of zeros, with null or
-    non-finite components, or not of the commonest dimension link with nothing. Equal vectors are
+    non-finite components link with nothing, others with those of their dimension. Equal vectors are
     linked with each other; a repeated id is one row for each vector. Other columns are ignored.
     """
     options = options or Options()
@@ -114,22 +114,36 @@ def embedding_dedup(vectors: DataFrame, options: Options | None = None, id_col:
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
     whole = F.expr("v IS NOT NULL AND forall(v, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity')) AND exists(v, x -> x <> 0)")
     usable = rows.where(whole)
-    widest = usable.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    usable = usable.where(F.size("v") == (widest[0] if widest else 0))
     classes = written(usable.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("copies")).withColumn("node", F.monotonically_increasing_id()))
-    total = classes.count()
-    sample = classes.orderBy(F.xxhash64("node"), "node").limit(options.sample).select("v").collect()
-    trees = spark.sparkContext.broadcast(forest(unit([r[0] for r in sample]), total, options) if sample else [])
+    # by dimension: a forest, or the one leaf that holds all
+    planted: dict[int, list[Tree] | int] = {}
+    first = 0
+    for n, total in sorted(map(tuple, classes.groupBy(F.size("v")).count().collect())):
+        if total <= options.leaf:
+            planted[n], first = first, first + 1
+            continue
+        sample = classes.where(F.size("v") == n).orderBy(F.xxhash64("node"), "node").limit(options.sample).select("v").collect()
+        planted[n] = forest(unit([r[0] for r in sample]), total, options, first)
+        first = planted[n][-1].leaves
+    trees = spark.sparkContext.broadcast(planted)
 
     def put(batches):
         for batch in batches:
             if not len(batch):
                 continue
-            own = unit(batch.column("v").to_pylist())
-            leaves: list[list] = [[] for _ in range(len(own))]
-            for tree in trees.value:
-                for at, leaf in tree.place(own):
-                    for i in at.tolist():
+            vectors = batch.column("v").to_pylist()
+            own: list = [None] * len(vectors)
+            leaves: list[list] = [[] for _ in vectors]
+            sizes = np.array([len(x) for x in vectors])
+            for n in np.unique(sizes).tolist():
+                where = np.flatnonzero(sizes == n)
+                rows = unit([vectors[i] for i in where.tolist()])
+                for i, x in zip(where.tolist(), rows, strict=True):
+                    own[i] = x
+                known = trees.value[n]
+                placed = [(np.arange(len(rows)), known)] if isinstance(known, int) else [y for tree in known for y in tree.place(rows)]
+                for at, leaf in placed:
+                    for i in where[at].tolist():
                         leaves[i].append(leaf)
             yield pa.record_batch(
                 [batch.column("node"), batch.column("copies"), pa.array([x.tobytes() for x in own], pa.binary()), pa.array([sorted(x) for x in leaves], pa.list_(pa.int32()))],

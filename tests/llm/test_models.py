@@ -233,6 +233,19 @@ def test_embeddings(spark):
     assert embedding_dedup(table.limit(0)).count() == 0
 
 
+
+def test_embeddings_of_several_dimensions(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.standard_normal(16).tolist()) for i in range(60)] + [(100 + i, rng.standard_normal(8).tolist()) for i in range(50)]
+    rows += [(200 + i, [x * 1.5 + 1e-6 for x in v]) for i, (_, v) in enumerate(rows[::10])] + [(300, [1.0, 2.0]), (301, [2.0, 4.0]), (302, [1.0, 2.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    want = {r[0]: (0, r[0]) for r in rows} | {300: (2, 300), 301: (2, 300), 302: (2, 300)}
+    for i, (k, _) in enumerate(rows[:110:10]):
+        want |= {k: (1, k), 200 + i: (1, k)}
+    for leaf in (4096, 30):
+        assert {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup(table, Options(leaf=leaf, chunk=64, trees=6)).collect()} == want
+
+
 def test_trees_hold_every_row():
     rows = unit(vectors(3))
     for tree in forest(rows, len(rows), Options(leaf=50)):
