@@ -37,3 +37,28 @@ reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN l
 least AS (SELECT a AS doc_id, min(b) AS least FROM reach GROUP BY a)
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(doc_id, coalesce(least, doc_id)) AS component_id, doc_id = least(doc_id, coalesce(least, doc_id)) AS kept
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)"""
+
+PHRASES = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({UPPER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+g AS (
+  SELECT lang, 1 AS k, unnest(w) AS phrase FROM w
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM w),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+cut AS (
+  SELECT c.*, 1 AS place, w[1] AS x, array_to_string(w[2:], ' ') AS y FROM c
+  UNION ALL SELECT c.*, 2, w[1] || ' ' || w[2], w[3] FROM c WHERE k = 3),
+s AS (
+  SELECT cut.lang, cut.phrase, a, place, l.f AS l, r.f AS r, CAST((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cut JOIN f l ON l.lang = cut.lang AND l.phrase = x JOIN f r ON r.lang = cut.lang AND r.phrase = y),
+least AS (SELECT lang, phrase, a, l, r, score FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, place) = 1),
+longer AS (
+  SELECT lang, phrase, max(a) AS most FROM (
+    SELECT lang, w[1] || ' ' || w[2] AS phrase, a FROM c WHERE k = 3 UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM c WHERE k = 3)
+  GROUP BY ALL)
+SELECT least.lang, row_number() OVER (PARTITION BY least.lang ORDER BY score DESC, a DESC, least.phrase) AS rank, least.phrase, a, l, r, n, score
+FROM least JOIN totals USING (lang) LEFT JOIN longer ON longer.lang = least.lang AND longer.phrase = least.phrase
+WHERE most IS NULL OR 100 * most < 50 * a QUALIFY rank <= 2000"""
