@@ -35,7 +35,7 @@ PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abc
 STEP = np.uint64(0x9E3779B97F4A7C15)
 #: The score of a phrase whose parts occur nowhere else.
 SCALE = 1_000_000
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BLOCK_SCHEMA = "block long, n_bytes long, lang string, words binary, windows binary, counts binary"
 
 
@@ -149,6 +149,13 @@ class Block:
         return [c[starts] for c in columns], np.add.reduceat(self.f[order], starts) if len(starts) else self.f
 
 
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one after the other; a batch may hold many blocks."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _kind(least: int) -> np.dtype:
     return np.dtype("u1" if least < 256 else "<u4")
 
@@ -157,19 +164,18 @@ def _ask(blocks: DataFrame, longest: int, least: int, bits: int) -> DataFrame:
     """Rows (bucket, block, sent): fingerprints in order, then their counts, which need not go beyond ``least``."""
 
     def send(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row, longest)
-                if not len(block.prints):
-                    continue
-                buckets, at = cuts(block.prints, bits)
-                short = ((block.prints << np.uint64(bits)) >> np.uint64(32)).astype("<u4")
-                few = np.minimum(block.counts, least).astype(_kind(least))
-                yield pa.record_batch(
-                    [pa.array(buckets, pa.int64()), pa.array(np.full(len(buckets), row["block"]), pa.int64()),
-                     pa.array([short[a:b].tobytes() + few[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())],
-                    names=["bucket", "block", "sent"],
-                )
+        for row in _each(batches):
+            block = Block(row, longest)
+            if not len(block.prints):
+                continue
+            buckets, at = cuts(block.prints, bits)
+            short = ((block.prints << np.uint64(bits)) >> np.uint64(32)).astype("<u4")
+            few = np.minimum(block.counts, least).astype(_kind(least))
+            yield pa.record_batch(
+                [pa.array(buckets, pa.int64()), pa.array(np.full(len(buckets), row["block"]), pa.int64()),
+                 pa.array([short[a:b].tobytes() + few[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())],
+                names=["bucket", "block", "sent"],
+            )
 
     return blocks.mapInArrow(send, ASK_SCHEMA)
 
@@ -206,15 +212,14 @@ def _cut(blocks: DataFrame, longest: int, bits: int) -> DataFrame:
     names = [f"w{i}" for i in range(1, longest + 1)]
 
     def send(batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row, longest)
-                columns, f = block.cut(flags(block.prints, bits, row["answers"]))
-                words = pa.array([PAD.encode(), *block.words], pa.binary()).cast(pa.string())
-                yield pa.record_batch(
-                    [pa.array([row["lang"]] * len(f), pa.string()), *(words.take(pa.array(c)) for c in columns), pa.array(f, pa.int64())],
-                    names=["lang", *names, "f"],
-                )
+        for row in _each(batches):
+            block = Block(row, longest)
+            columns, f = block.cut(flags(block.prints, bits, row["answers"]))
+            words = pa.array([PAD.encode(), *block.words], pa.binary()).cast(pa.string())
+            yield pa.record_batch(
+                [pa.array([row["lang"]] * len(f), pa.string()), *(words.take(pa.array(c)) for c in columns), pa.array(f, pa.int64())],
+                names=["lang", *names, "f"],
+            )
 
     return blocks.mapInArrow(send, ", ".join(["lang string", *(f"{w} string" for w in names), "f long"]))
 
