@@ -36,7 +36,8 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 #: The score of a phrase whose parts occur nowhere else.
 SCALE = 1_000_000
 BLOCK_BYTES = 4 << 20
-BLOCK_SCHEMA = "block long, n_bytes long, lang string, words binary, windows binary, counts binary"
+CODEC = "zstd"
+BLOCK_SCHEMA = "block long, n_bytes long, lang string, sizes array<long>, payload binary"
 
 
 def _changes(columns: list[np.ndarray]) -> np.ndarray:
@@ -54,16 +55,18 @@ def count_windows(texts: list[bytes], longest: int) -> tuple[list[bytes], list[n
     numbers: dict = defaultdict()
     numbers.default_factory = numbers.__len__
     numbers[END]  # is number 0
-    ids = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
+    ids = np.fromiter(map(numbers.__getitem__, tokens), np.int32, len(tokens))
+    del tokens
     at = np.flatnonzero(ids)
-    ids = np.append(ids, np.zeros(longest, np.int64))
+    ids = np.append(ids, np.zeros(longest, np.int32))
     columns = [ids[at]]
     for i in range(1, longest):
         columns.append(np.where(columns[-1] > 0, ids[at + i], 0))
     if len(numbers) ** longest < 1 << 62:
-        keys = columns[0]
+        keys = columns[0].astype(np.int64)
         for c in columns[1:]:
-            keys = keys * len(numbers) + c
+            keys *= len(numbers)
+            keys += c
         order = np.argsort(keys)
     else:
         order = np.lexsort(columns[::-1])
@@ -89,9 +92,13 @@ def window_blocks(docs: DataFrame, longest: int, text_col: str = "text", lang_co
         def block(lang: str) -> pa.RecordBatch:
             nonlocal number
             words, columns, counts = count_windows(held.pop(lang), longest)
-            row = [number, sizes.pop(lang), lang, b" ".join(words), b"".join(c.astype("<u4").tobytes() for c in columns), counts.astype("<u4").tobytes()]
+            words = b" ".join(words)
+            # Of the sorted first words the differences, which are mostly 0.
+            parts = [words, np.diff(columns[0], prepend=0).astype("<u4").tobytes(), *(c.astype("<u4").tobytes() for c in columns[1:]), counts.astype("<u4").tobytes()]
+            packed = pa.compress(b"".join(parts), CODEC, asbytes=True)
+            row = [number, sizes.pop(lang), lang, [len(words), len(counts)], packed]
             number += 1
-            kinds = [pa.int64(), pa.int64(), pa.string(), *[pa.binary()] * 3]
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.binary()]
             return pa.record_batch([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names=[x.split()[0] for x in BLOCK_SCHEMA.split(", ")])
 
         for batch in batches:
@@ -103,7 +110,7 @@ def window_blocks(docs: DataFrame, longest: int, text_col: str = "text", lang_co
         for lang in list(held):
             yield block(lang)
 
-    rows.mapInArrow(to_blocks, BLOCK_SCHEMA).write.option("compression", "zstd").parquet(path)
+    rows.mapInArrow(to_blocks, BLOCK_SCHEMA).write.option("compression", "none").parquet(path)
     return spark.read.schema(BLOCK_SCHEMA).parquet(path)
 
 
@@ -111,10 +118,14 @@ class Block:
     """A row of :func:`window_blocks`: fingerprints of the phrases that begin its windows."""
 
     def __init__(self, row: dict, longest: int):
-        self.words = row["words"].split(b" ") if row["words"] else []
-        self.f = np.frombuffer(row["counts"], "<u4").astype(np.int64)
-        self.columns = list(np.frombuffer(row["windows"], "<u4").astype(np.int64).reshape(longest, len(self.f)))
-        hashes = np.concatenate((np.zeros(1, np.uint64), word_hashes(row["words"]) if self.words else np.zeros(0, np.uint64)))
+        size, n = row["sizes"]
+        data = pa.decompress(row["payload"], size + 4 * n * (longest + 1), CODEC, asbytes=True)
+        words = data[:size]
+        self.words = words.split(b" ") if words else []
+        *columns, counts = np.frombuffer(data, "<u4", offset=size).reshape(longest + 1, n)
+        self.f = counts.astype(np.int64)
+        self.columns = [np.cumsum(columns[0], dtype=np.int64), *(c.astype(np.int64) for c in columns[1:])]
+        hashes = np.concatenate((np.zeros(1, np.uint64), word_hashes(words) if words else np.zeros(0, np.uint64)))
         language = word_hashes(row["lang"].replace(" ", "\n").encode() or b"\n")[0]
         prints, counts, self.places = [], [], []
         total = 0
