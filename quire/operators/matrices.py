@@ -47,6 +47,40 @@ def nearest(x: np.ndarray, c: np.ndarray, metric: str, n: int = 1):
     return np.concatenate(found), np.concatenate(values)
 
 
+def nearest_in_groups(
+    x: np.ndarray, c: np.ndarray, leaders: np.ndarray, starts: np.ndarray, metric: str, n: int = 1, probe: int = 1
+):
+    """As :func:`nearest`, looking only into the ``probe`` groups of rows of ``c`` with the best leaders.
+
+    Group g is ``c[starts[g]:starts[g + 1]]``. Where these could hold fewer than ``n`` rows, more groups are taken.
+    """
+    n, sizes = min(n, len(c)), np.diff(starts)
+    probe = max(probe, int(np.searchsorted(np.cumsum(np.sort(sizes)), n)) + 1)
+    if probe >= len(leaders):
+        return nearest(x, c, metric, n)
+    found = np.empty((len(x), n), np.int64)
+    values = np.empty((len(x), n), np.result_type(x, c))
+    step = max(1, _SCORE_CELLS // (probe * n))
+    for at in range(0, len(x), step):
+        some = x[at : at + step]
+        cost = np.full((len(some) * probe, n), np.inf)
+        cells = np.full((len(some) * probe, n), len(c))
+        groups = nearest(some, leaders, metric, probe)[0].ravel()
+        order = np.argsort(groups, kind="stable")
+        cuts = np.searchsorted(groups[order], np.arange(len(leaders) + 1))
+        for g in np.flatnonzero(np.diff(cuts)):
+            slots = order[cuts[g] : cuts[g + 1]]
+            columns, s = nearest(some[slots // probe], c[starts[g] : starts[g + 1]], metric, n)
+            cells[slots, : columns.shape[1]] = columns + starts[g]
+            cost[slots, : columns.shape[1]] = -s if metric == "ip" else s
+        cost, cells = cost.reshape(len(some), -1), cells.reshape(len(some), -1)
+        order = np.lexsort((cells, cost), axis=1)[:, :n]
+        found[at : at + step] = np.take_along_axis(cells, order, axis=1)
+        best_cost = np.take_along_axis(cost, order, axis=1)
+        values[at : at + step] = -best_cost if metric == "ip" else best_cost
+    return found, values
+
+
 def code_type(n_codes: int):
     return np.uint8 if n_codes <= 256 else np.uint16
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,19 @@ class Quantiser:
     metric: str = "ip"
     books: np.ndarray | None = None  # (pq_m, codes, dim / pq_m)
     by_residual: bool = True
+    #: With two levels the leaders of groups of cells, and where each group of ``centroids`` begins (and the last ends).
+    leaders: np.ndarray | None = None
+    starts: np.ndarray | None = None
+    #: Groups that are looked into for a vector's cell. One that looks for more cells looks into as many groups more.
+    probe: int = 8
+
+    def nearest(self, x: np.ndarray, n: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """``(cells, scores)`` of the ``n`` best cells for each row, ties to the lower cell."""
+        if self.leaders is None:
+            return matrices.nearest(x, self.centroids, self.metric, n)
+        return matrices.nearest_in_groups(
+            x, self.centroids, self.leaders, self.starts, self.metric, n, self.probe + n - 1
+        )
 
     @property
     def nlist(self) -> int:
@@ -65,11 +78,12 @@ def load_books(codebooks: DataFrame) -> np.ndarray:
     return flat.reshape(m, -1, flat.shape[1])
 
 
-def centroid_table(spark: SparkSession, centroids: np.ndarray) -> DataFrame:
-    return spark.createDataFrame(
-        pa.table({"cell": pa.array(np.arange(len(centroids), dtype="int32")),
-                  "centroid": vectors_to_arrow(centroids.astype("float32"))})
-    )
+def centroid_table(spark: SparkSession, centroids: np.ndarray, starts: np.ndarray | None = None) -> DataFrame:
+    """``(cell, centroid)``, with ``grp`` where the cells form groups."""
+    columns = {"cell": pa.array(np.arange(len(centroids), dtype="int32")), "centroid": vectors_to_arrow(centroids.astype("float32"))}
+    if starts is not None:
+        columns["grp"] = pa.array(np.repeat(np.arange(len(starts) - 1, dtype="int32"), np.diff(starts)))
+    return spark.createDataFrame(pa.table(columns))
 
 
 def codebook_table(spark: SparkSession, books: np.ndarray) -> DataFrame:
@@ -90,8 +104,8 @@ def to_cells(
     With ``residual`` the vector becomes its difference from the centroid. Rows stay in
     their partition; ties go to the lower cell.
     """
-    model = df.sparkSession.sparkContext.broadcast(quantiser.centroids)
-    metric, n = quantiser.metric, min(n, quantiser.nlist)
+    model = df.sparkSession.sparkContext.broadcast(replace(quantiser, books=None))
+    n = min(n, quantiser.nlist)
     names = df.columns
     at = names.index(vector)
     fields = [
@@ -106,11 +120,11 @@ def to_cells(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            centroids = model.value
+            centroids = model.value.centroids
             x = arrow_to_matrix(batch.column(at), centroids.dtype)
             if x.shape[1] != centroids.shape[1]:
                 raise ValueError(f"vectors differ in length: {x.shape[1]}, model {centroids.shape[1]}")
-            cells, values = matrices.nearest(x, centroids, metric, n)
+            cells, values = model.value.nearest(x, n)
             rows = np.repeat(np.arange(len(x)), n)
             columns = [c if n == 1 else c.take(pa.array(rows)) for c in batch.columns]
             if residual:
@@ -191,17 +205,46 @@ def coding_error(df: DataFrame, quantiser: Quantiser, *, vector: str = "embeddin
 # --------------------------------------------------------------------------- training
 def hash_sample(df: DataFrame, fraction: float, key: str = "id", seed: int = 0) -> DataFrame:
     """Rows whose key hashes below ``fraction``: spread over the whole table, no sort."""
-    slots = 1 << 24
-    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(slots)) < int(fraction * slots) + 1)
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+    return df.where(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") < int(fraction * (1 << 32)) + 1)
+
+
+#: Fixed value: rows a cell below which k-means is known to train poorly.
+LEAST_ROWS_A_CELL = 39
 
 
-def training_rows(nlist: int, sample_mult: int = 64) -> int:
-    """Number of rows to train ``nlist`` cells on."""
-    return max(nlist * sample_mult, nlist * 39)
+def training_rows(nlist: int, rows_a_cell: int = 64) -> int:
+    """How many rows ``nlist`` cells are trained on."""
+    return nlist * max(rows_a_cell, LEAST_ROWS_A_CELL)
+
+
+def _partial_sums(run, df: DataFrame) -> DataFrame:
+    """``(m, code, n, mean, error)`` from the rows ``(m, code, n, total, error)`` that ``run`` gives of each batch."""
+    partial = df.mapInArrow(run, "m int, code int, n bigint, total array<double>, error double")
+    merged = partial.groupBy("m", "code").agg(
+        F.sum("n").alias("n"),
+        vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total"),
+        F.sum("error").alias("error"),
+    )
+    return merged.select("m", "code", "n", F.transform("total", lambda t: t / F.col("n")).alias("mean"), "error")
+
+
+def _sums(m: int, part: np.ndarray, labels: np.ndarray, cost: np.ndarray) -> pa.RecordBatch:
+    present, counts, sums = matrices.sums_by_label(part, labels)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.full(len(present), m, dtype="int32")),
+            pa.array(present.astype("int32")),
+            pa.array(counts.astype("int64")),
+            vectors_to_arrow(sums.astype("float64")),
+            pa.array(np.bincount(labels, cost)[present].astype("float64")),
+        ],
+        names=["m", "code", "n", "total", "error"],
+    )
 
 
 def lloyd_step(df: DataFrame, books: np.ndarray, *, vector: str = "embedding") -> DataFrame:
-    """``(m, code, n, mean)``: mean of the sub-vectors nearest to each code.
+    """``(m, code, n, mean, error)``: of the sub-vectors nearest to each code the mean, and their summed squared distance.
 
     Each batch sends one partial sum per code it met, and the sums are merged before and
     after the shuffle, so a code near most rows costs no more than any other. Plain
@@ -217,36 +260,124 @@ def lloyd_step(df: DataFrame, books: np.ndarray, *, vector: str = "embedding") -
             width = shared.value.shape[2]
             for j, book in enumerate(shared.value):
                 part = x[:, j * width : (j + 1) * width]
-                labels = matrices.nearest(part, book, "l2")[0][:, 0]
-                present, counts, sums = matrices.sums_by_label(part, labels)
+                labels, cost = matrices.nearest(part, book, "l2")
+                yield _sums(j, part, labels[:, 0], cost[:, 0])
+
+    return _partial_sums(run, df.select(vector))
+
+
+def group_step(df: DataFrame, centroids: np.ndarray, starts: np.ndarray, *, vector: str = "embedding", group: str = "grp") -> DataFrame:
+    """:func:`lloyd_step` of all groups of cells at once; a row meets the cells of its own group only."""
+    shared = df.sparkSession.sparkContext.broadcast((centroids, starts))
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            c, begins = shared.value
+            x = arrow_to_matrix(batch.column(0), c.dtype)
+            groups = batch.column(1).to_numpy()
+            order = np.argsort(groups, kind="stable")
+            cuts = np.searchsorted(groups[order], np.arange(len(begins)))
+            labels, cost = np.empty(len(x), np.int64), np.empty(len(x))
+            for g in np.flatnonzero(np.diff(cuts)):
+                rows = order[cuts[g] : cuts[g + 1]]
+                cells, values = matrices.nearest(x[rows], c[begins[g] : begins[g + 1]], "l2")
+                labels[rows], cost[rows] = cells[:, 0] + begins[g], values[:, 0]
+            yield _sums(0, x, labels, cost)
+
+    return _partial_sums(run, df.select(vector, group))
+
+
+def _farthest(df: DataFrame, books: np.ndarray, wanted: dict[tuple[int, int], None], *, vector: str) -> dict:
+    """``{(m, code): sub-vector}``: of each wanted code the sub-vector that is farthest from it."""
+    shared = df.sparkSession.sparkContext.broadcast((books, sorted(wanted)))
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            books, wanted = shared.value
+            width = books.shape[2]
+            x = arrow_to_matrix(batch.column(0), books.dtype)
+            for j in sorted({m for m, _ in wanted}):
+                part = x[:, j * width : (j + 1) * width]
+                labels, cost = (a[:, 0] for a in matrices.nearest(part, books[j], "l2"))
+                codes = [c for m, c in wanted if m == j and (labels == c).any()]
+                rows = [int(np.where(labels == c, cost, -1.0).argmax()) for c in codes]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(present), j, dtype="int32")),
-                        pa.array(present.astype("int32")),
-                        pa.array(counts.astype("int64")),
-                        vectors_to_arrow(sums.astype("float64")),
-                    ],
-                    names=["m", "code", "n", "total"],
+                    [pa.array([j] * len(codes), pa.int32()), pa.array(codes, pa.int32()), pa.array(cost[rows].astype("float64")),
+                     vectors_to_arrow(part[rows].astype("float64"))],
+                    names=["m", "code", "cost", "v"],
                 )
 
-    partial = df.select(vector).mapInArrow(run, "m int, code int, n bigint, total array<double>")
-    merged = partial.groupBy("m", "code").agg(
-        F.sum("n").alias("n"),
-        vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total"),
-    )
-    return merged.select(
-        "m", "code", "n", F.transform("total", lambda t: t / F.col("n")).alias("mean")
-    )
+    found = df.select(vector).mapInArrow(run, "m int, code int, cost double, v array<double>")
+    best = found.groupBy("m", "code").agg(F.max(F.struct("cost", "v")).alias("x")).select("m", "code", "x.*")
+    return {(r["m"], r["code"]): (r["cost"], r["v"]) for r in best.collect()}  # at most one row a code
+
+
+@dataclass
+class Training:
+    """What training gives: the code books, and the summed squared distance of each round before its codes moved."""
+
+    books: np.ndarray
+    inertia: list[float]
+
+
+def _lloyd(sample: DataFrame, books: np.ndarray, iterations: int, step, revive=None) -> Training:
+    """Rounds of k-means. The driver holds the model only."""
+    inertia: list[float] = []
+    for _ in range(iterations):
+        table = step(books).select("m", "code", "error", F.col("mean").cast("array<float>")).toArrow()
+        m, code = table["m"].to_numpy(), table["code"].to_numpy()
+        inertia.append(float(table["error"].to_numpy().sum()))
+        moved = books.copy()
+        moved[m, code] = arrow_to_matrix(table["mean"].combine_chunks(), "float32")
+        dead = np.ones(books.shape[:2], bool)
+        dead[m, code] = False
+        if revive is not None and dead.any():
+            revive(books, moved, dead, m, code, table["error"].to_numpy())
+        shift = np.abs(moved - books).max()
+        books = moved
+        if shift < 1e-7:
+            break
+    return Training(books, inertia)
+
+
+def train(
+    sample: DataFrame, starts: np.ndarray, *, iterations: int = 10, vector: str = "embedding"
+) -> Training:
+    """Distributed k-means in each sub-space from given codes ``(m, codes, width)``.
+
+    A code that no row is nearest to moves to the row farthest from the code with the largest error that
+    no other has taken, so no code stays idle while another has more than one distinct row. The inertia never rises.
+    """
+
+    def revive(books, moved, dead, m, code, error):
+        wanted: dict[tuple[int, int], None] = {}
+        for j in np.flatnonzero(dead.any(axis=1)).tolist():
+            mine = np.flatnonzero((m == j) & (error > 0))
+            worst = mine[np.argsort(-error[mine], kind="stable")][: int(dead[j].sum())]
+            wanted |= dict.fromkeys((j, int(code[i])) for i in worst)
+        if not wanted:
+            return
+        found = _farthest(sample, books, wanted, vector=vector)
+        for j in {j for j, _ in wanted}:
+            idle = np.flatnonzero(dead[j]).tolist()
+            rows = [found[k][1] for k in wanted if k[0] == j and k in found and found[k][0] > 0]
+            for place, row in zip(idle, rows, strict=False):
+                moved[j, place] = np.asarray(row, "float32")
+
+    return _lloyd(sample, starts, iterations, lambda books: lloyd_step(sample, books, vector=vector), revive)
 
 
 def train_books(
     sample: DataFrame, m: int, n_codes: int, *, iterations: int = 10, seed: int = 0,
     vector: str = "embedding", key: str = "id",
 ) -> np.ndarray:
-    """``(m, codes, width)`` code books by distributed k-means in each sub-space.
+    """``(m, codes, width)`` code books by distributed k-means in each sub-space, see :func:`train`.
 
-    The driver holds the model only. Fewer distinct rows than codes give fewer codes; a
-    code no row is nearest to keeps its place.
+    Fewer distinct rows than codes give fewer codes.
     """
     row = sample.agg(F.count("*").alias("n"), F.max(F.size(vector)).alias("dim")).first()
     n, dim = row["n"], row["dim"]
@@ -278,15 +409,64 @@ def train_books(
     )
     rows = arrow_to_matrix(starts.column("v").combine_chunks(), "float32")
     books = rows.reshape(len(rows), m, dim // m).transpose(1, 0, 2).copy()
-    for _ in range(iterations):
-        means = lloyd_step(sample, books, vector=vector)
-        table = means.select("m", "code", F.col("mean").cast("array<float>")).toArrow()
-        moved = books.copy()
-        moved[table["m"].to_numpy(), table["code"].to_numpy()] = arrow_to_matrix(
-            table["mean"].combine_chunks(), "float32"
-        )
-        shift = np.abs(moved - books).max()
-        books = moved
-        if shift < 1e-7:
-            break
-    return books
+    return train(sample, books, iterations=iterations, vector=vector).books
+
+
+# --------------------------------------------------------------------------- two levels
+def share_out(weights: np.ndarray, n: int) -> np.ndarray:
+    """``n`` cells for groups by weight: one for each group that has any, the rest by largest remainder."""
+    out = (weights > 0).astype(np.int64)
+    rest = n - int(out.sum())
+    if rest > 0:
+        exact = weights / weights.sum() * rest
+        out += exact.astype(np.int64)
+        left = n - int(out.sum())
+        out[np.argsort(-(exact - np.floor(exact)), kind="stable")[:left]] += 1
+    return out
+
+
+def train_groups(
+    grouped: DataFrame, centroids: np.ndarray, starts: np.ndarray, *, iterations: int = 10, vector: str = "embedding", group: str = "grp"
+) -> Training:
+    """k-means within each group of given cells, all groups in the same passes; rows carry their group."""
+    return _lloyd(grouped, centroids[None], iterations, lambda c: group_step(grouped, c[0], starts, vector=vector, group=group))
+
+
+def train_tree(
+    sample: DataFrame, nlist: int, n_groups: int, *, iterations: int = 10, seed: int = 0,
+    vector: str = "embedding", key: str = "id",
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[float]]:
+    """``(leaders, centroids, starts, inertia)``: cells in groups, trained for all groups in the same passes.
+
+    A flat model compares every row with all ``nlist`` cells in each round. Here ``n_groups`` leaders are trained
+    first, each group gets cells by its share of the rows, and a row then meets the cells of its own group only:
+    with about sqrt(nlist) groups some 2 sqrt(nlist) comparisons instead. Fewer distinct rows give fewer cells.
+    """
+    spark = sample.sparkSession
+    check_model_size(spark, 4 * (nlist + n_groups) * (sample.select(F.max(F.size(vector))).first()[0] or 0))
+    leaders = train_books(sample, 1, n_groups, iterations=iterations, seed=seed, vector=vector, key=key)[0]
+    grouped = to_cells(sample.select(key, vector), Quantiser(leaders, "l2"), vector=vector)
+    grouped = grouped.drop("cell_score").withColumnRenamed("cell", "grp").persist()
+    try:
+        # Distinct vectors of each group, numbered by hash; one row a group says how many are wanted.
+        marks = grouped.select("grp", F.xxhash64(vector).alias("vh"), F.xxhash64(F.col(key), F.lit(seed)).alias("h"))
+        marks = marks.groupBy("grp", "vh").agg(F.min("h").alias("h"), F.count("*").alias("n"))
+        sizes = marks.groupBy("grp").agg(F.sum("n").alias("n"), F.count("*").alias("distinct")).toArrow()
+        weights, distinct = np.zeros(len(leaders)), np.zeros(len(leaders), np.int64)
+        weights[sizes["grp"].to_numpy()] = sizes["n"].to_numpy()
+        distinct[sizes["grp"].to_numpy()] = sizes["distinct"].to_numpy()
+        wanted = np.minimum(share_out(weights, nlist), distinct)
+        asked = spark.createDataFrame([(g, int(w)) for g, w in enumerate(wanted)], "grp int, wanted int")
+        place = F.row_number().over(Window.partitionBy("grp").orderBy("h", "vh"))
+        chosen = marks.withColumn("place", place).where(F.col("place") <= int(wanted.max()))
+        chosen = chosen.join(F.broadcast(asked), "grp").where("place <= wanted").select("grp", "vh", "place")
+        rows = grouped.select("grp", F.xxhash64(vector).alias("vh"), F.col(vector).cast("array<float>").alias("v"))
+        rows = rows.join(chosen, ["grp", "vh"]).groupBy("grp", "place").agg(F.first("v").alias("v"))
+        begin = rows.orderBy("grp", "place").select("v").toArrow()
+        centroids = arrow_to_matrix(begin.column("v").combine_chunks(), "float32")
+        starts = np.concatenate(([0], np.cumsum(wanted)))
+        made = train_groups(grouped, centroids, starts, iterations=iterations, vector=vector)
+        kept = wanted > 0
+        return leaders[kept], made.books[0], np.concatenate(([0], np.cumsum(wanted[kept]))), made.inertia
+    finally:
+        grouped.unpersist()

@@ -71,6 +71,17 @@ INDEX_META = struct(
     last_update_added_shards=T.ArrayType(STRING),
     last_update_added_vectors=LONG,
     last_update_at=TIME,
+    probe_groups=INT,
+    live_batches=T.ArrayType(INT),
 )
 
+#: One row per shard and batch that indexed it; shards without vectors are on record with 0.
+SHARD_LEDGER = struct(shard=STRING, batch=INT, n_vectors=LONG, length=LONG, modified=TIME, added_at=TIME)
+
+#: Postings of ``shard`` in batches before ``batch`` no longer count.
+HIDDEN = struct(shard=STRING, batch=INT)
+
+#: Cells of an index; ``grp`` is null where they form no groups.
+CENTROIDS = struct(cell=INT, centroid=T.ArrayType(T.FloatType()), grp=INT)
+
 QUERIES = struct(query_id=LONG, query=STRING, k=INT)

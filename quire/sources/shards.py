@@ -35,7 +35,7 @@ def shard_name(index: Column, prefix: str) -> Column:
 
 
 def list_shards(spark: SparkSession, path: str) -> DataFrame:
-    """``(shard, path)`` of every Parquet file below ``path``; an empty folder is an error.
+    """``(shard, path, length, modified)`` of every Parquet file below ``path``; an empty folder is an error.
 
     Only the file listing is read, no file is opened.
     """
@@ -44,7 +44,7 @@ def list_shards(spark: SparkSession, path: str) -> DataFrame:
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .load(path)
-        .select(F.substring_index("path", "/", -1).alias("shard"), "path")
+        .select(F.substring_index("path", "/", -1).alias("shard"), "path", "length", F.col("modificationTime").alias("modified"))
     )
     if listed.isEmpty():
         raise FileNotFoundError(f"{path!r} holds no Parquet file")
@@ -62,6 +62,12 @@ def read_vectors(spark: SparkSession, paths) -> DataFrame:
     )
 
 
+def row_counts(spark: SparkSession, paths) -> DataFrame:
+    """``(shard, n_vectors)`` of the shard files that have rows. No column is read, only the files' footers."""
+    rows = spark.read.option("recursiveFileLookup", True).schema(schemas.SHARD).parquet(*paths)
+    return rows.groupBy(F.col("_metadata.file_name").alias("shard")).agg(F.count("*").alias("n_vectors"))
+
+
 def first_dim(vectors: DataFrame, expected: int | None = None) -> int:
     """Length of one vector. Reading all of them is left to the job, which checks each block."""
     row = vectors.where(F.col("embedding").isNotNull()).select(F.size("embedding")).first()

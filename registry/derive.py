@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from quire import schemas
 from quire.functions import text as X
 from quire.operators.quantiser import Quantiser, model_matrix
+from quire.sources import shards
 from registry.base import staged, table
 
 BASE = "https://works.example.org/"
@@ -171,6 +172,26 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _write_in_order(spark: SparkSession, sf_dir: str, path: str) -> None:
+    order = (F.col("vec_id") % 4, F.desc("vec_id"))
+    rows = vectors(spark, sf_dir).repartitionByRange(4, *order).sortWithinPartitions(*order)
+    shards.write_shards(as_shard_rows(rows), path, rows_per_file=100)
+
+
+def ordered_shards(spark: SparkSession, sf_dir: str) -> str:
+    """Shards whose rows lie, file by file, in the order of vec_id modulo 4, then of falling vec_id."""
+    return staged(spark, sf_dir, "ordered-shards", lambda p: _write_in_order(spark, sf_dir, p))
+
+
+def as_shard_rows(rows: DataFrame) -> DataFrame:
+    """Vectors as embedded works without any other field."""
+    missing = [F.lit(None).cast("string").alias(c) for c in ("doi", "title", "language")]
+    return rows.select(
+        "id", *missing, F.lit(None).cast("int").alias("publication_year"), F.lit(None).cast("string").alias("type"),
+        F.lit("").alias("text"), "embedding",
+    )
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors(spark, sf_dir).select(F.col("vec_id").alias("id"), "embedding")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quire.functions.embedders import HashingEmbedder
 from quire.operators.embedding import embed
 from quire.operators.hydrate import nest
+from quire.operators.neighbours import cell_neighbours
 from quire.plans import embed_job, index_job, search_job
 from quire.session import new_run_dir
 from quire.sources import shards, snapshot
@@ -82,9 +83,19 @@ def shard_write(spark, sf):
     return _with_dim(spark.read.schema(D.schemas.SHARD).parquet(_written_shards(spark, sf)))
 
 
-@query("list_shards")
+@query("list_shards", """
+    SELECT CASE WHEN vec_id % 4 < 2 THEN 'old' ELSE 'new' END AS half, vec_id % 5 AS slot, true AS named, true AS sized, count(*) > 0 AS listed
+    FROM embeddings GROUP BY ALL UNION ALL SELECT 'none', 0, true, true, true""")
 def list_shards(spark, sf):
-    return shards.list_shards(spark, _written_shards(spark, sf)).select("shard").orderBy("shard")
+    """Shard files by folder; the names end as Parquet files do and every file has a length and a time."""
+    listed = shards.list_shards(spark, vector_shards(spark, sf))
+    folders = F.split("path", "/")
+    return listed.groupBy(
+        F.element_at(folders, -3).alias("half"), F.substring_index(F.element_at(folders, -2), "=", -1).cast("bigint").alias("slot")
+    ).agg(
+        F.bool_and(F.endswith("shard", F.lit(".parquet")) & F.endswith("path", F.col("shard"))).alias("named"),
+        F.bool_and((F.col("length") > 0) & F.col("modified").isNotNull()).alias("sized"), (F.count("*") > 0).alias("listed"),
+    )
 
 
 @query("embed_job", SQL_SHARDS)
@@ -107,13 +118,13 @@ SMALL = index_job.IndexOptions(nlist=8, pq_m=8, pq_nbits=4, iterations=3)
 
 
 def _write_vector_shards(spark, sf, path):
-    rows = D.vectors(spark, sf).select(
-        "id", F.lit(None).cast("string").alias("doi"), F.lit(None).cast("string").alias("title"),
-        F.lit(None).cast("string").alias("language"), F.lit(None).cast("int").alias("publication_year"),
-        F.lit(None).cast("string").alias("type"), F.lit("").alias("text"), "embedding", "vec_id",
-    )
+    """One file for each 200 vectors of a fifth of the ids, and a file without any."""
+    rows = D.vectors(spark, sf)
     for name, wanted in (("old", F.col("vec_id") % 4 < 2), ("new", F.col("vec_id") % 4 >= 2)):
-        shards.write_shards(rows.where(wanted), f"{path}/{name}", rows_per_file=200)
+        for slot in range(5):
+            chosen = rows.where(wanted & (F.col("vec_id") % 5 == slot)).repartition(1 + slot % 2, "vec_id")
+            shards.write_shards(D.as_shard_rows(chosen), f"{path}/{name}/slot={slot}", rows_per_file=200)
+    shards.write_shards(D.as_shard_rows(rows.where("vec_id IS NULL").limit(0)), f"{path}/none/slot=0")
 
 
 def vector_shards(spark, sf):
@@ -151,12 +162,16 @@ def index_integrity(spark, sf):
     )
 
 
-@query("indexed_shards", "SELECT CASE WHEN vec_id % 4 < 2 THEN 'old' ELSE 'new' END AS half, count(*) AS n_vectors FROM embeddings GROUP BY 1")
+@query("indexed_shards", """
+    SELECT CASE WHEN vec_id % 4 < 2 THEN 'old' ELSE 'new' END AS half, count(*) AS n_vectors,
+           CASE WHEN vec_id % 4 < 2 THEN 0 ELSE 1 END AS batch FROM embeddings GROUP BY ALL
+    UNION ALL SELECT 'none', 0, 1""")
 def indexed_shards(spark, sf):
+    """The shard ledger, which has the shard without vectors too."""
     path, root = grown_index(spark, sf), vector_shards(spark, sf)
-    done = index_job.indexed_shards(index_job.postings(spark, path, index_job.current_meta(spark, path)))
-    listed = shards.list_shards(spark, root).withColumn("half", F.element_at(F.split("path", "/"), -2))
-    return done.join(listed, "shard").groupBy("half").agg(F.sum("n_vectors").alias("n_vectors"))
+    done = index_job.shard_ledger(spark, path, index_job.current_meta(spark, path))
+    listed = shards.list_shards(spark, root).select("shard", F.element_at(F.split("path", "/"), -3).alias("half"))
+    return done.join(listed, "shard").groupBy("half", F.col("batch").cast("bigint").alias("batch")).agg(F.sum("n_vectors").alias("n_vectors"))
 
 
 @query("index_meta", """
@@ -173,22 +188,98 @@ def index_meta(spark, sf):
 
 
 @query("index_totals", """
-    SELECT count(*) AS n_vectors, count(DISTINCT vec_id % 4) AS shard_count,
-           string_agg(DISTINCT CASE WHEN vec_id % 4 >= 2 THEN 'corpus_00000' || vec_id % 4 || '.parquet' END, ',' ORDER BY
-             CASE WHEN vec_id % 4 >= 2 THEN 'corpus_00000' || vec_id % 4 || '.parquet' END) AS added_shards,
-           count(*) FILTER (vec_id % 4 >= 2) AS added_vectors FROM embeddings""")
+    SELECT count(*) AS n_vectors, count(*) AS n_in_ledger, count(*) FILTER (vec_id % 4 >= 2) AS added_vectors, true AS shards_agree, true AS added_agree
+    FROM embeddings""")
 def index_totals(spark, sf):
-    """Totals from per-shard counts, so that nothing but counts is collected into lists."""
-    per_shard = index_job.indexed_shards(D.vectors(spark, sf).select("shard"))
-    new = F.col("shard") > "corpus_000001.parquet"
-    return per_shard.agg(
-        F.sum("n_vectors").alias("n_vectors"),
-        F.count("*").alias("shard_count"),
-        F.array_join(F.array_sort(F.collect_set(F.when(new, F.col("shard")))), ",").alias("added_shards"),
-        F.sum(F.when(new, F.col("n_vectors"))).alias("added_vectors"),
+    """Totals of the index as its meta and its ledger have them, and whether they name the same shards."""
+    path = grown_index(spark, sf)
+    meta = index_job.current_meta(spark, path)
+    ledger = index_job.shard_ledger(spark, path, meta).where("n_vectors > 0")
+    added = F.array_sort(F.collect_set(F.when(F.col("batch") == meta["batch"], F.col("shard"))))  # one name per file
+    return ledger.agg(
+        F.lit(meta["n_vectors"]).alias("n_vectors"),
+        F.sum("n_vectors").alias("n_in_ledger"),
+        F.sum(F.when(F.col("batch") == meta["batch"], F.col("n_vectors"))).alias("added_vectors"),
+        (F.count("*") == meta["shard_count"]).alias("shards_agree"),
+        (added == F.array(*map(F.lit, meta["last_update_added_shards"]))).alias("added_agree"),
     )
 
 
+def batched_index(spark, sf):
+    """Index of raw vectors in ten batches, one for each folder of shards; no batch but the first is large."""
+
+    def write(path):
+        root = vector_shards(spark, sf)
+        options = index_job.IndexOptions(nlist=4, pq_m=0, iterations=2, metric="ip")
+        for half in ("old", "new"):
+            for slot in range(5):
+                index_job.run(spark, f"{root}/{half}/slot={slot}", path, options)
+
+    return staged(spark, sf, "batched-index", write)
+
+
+def _exact_hits(spark, sf, index, meta):
+    """Every vector's best five by a search of all cells."""
+    model = index_job.load_quantiser(spark, index, meta)
+    hits = cell_neighbours(D.all_queries(spark, sf), index_job.postings(spark, index, meta), model, 5, model.nlist)
+    return hits.select("query_id", F.substring_index("id", "/W", -1).cast("bigint").alias("id"), F.col("rank").cast("bigint").alias("rank"), F.round("score", 4).alias("score"))
+
+
+SQL_FIVE = f"""WITH {D.SQL_VECTORS}, {D.sql_exact('ip', 5)}
+    SELECT query_id, rank, round(score, 4) AS score"""
+
+
+@query("index_compact", f"{SQL_FIVE}, CAST(1 AS BIGINT) AS n_batches, true AS same FROM hits")
+def index_compact(spark, sf):
+    """Hits of an index of ten batches, merged into one; a reader of the old meta row finds the same."""
+    path = batched_index(spark, sf)
+    history = index_job.meta_history(spark, path).orderBy(F.desc("batch")).collect()  # one row per commit
+    before = next(r.asDict() for r in history if len(r["live_batches"]) == 10)
+    after = index_job.compact(spark, path) or index_job.current_meta(spark, path)
+    old = _exact_hits(spark, sf, path, before).select("query_id", "rank", F.col("score").alias("was"))
+    hits = _exact_hits(spark, sf, path, after).drop("id").join(old, ["query_id", "rank"], "left")
+    return hits.select("query_id", "rank", "score", F.lit(len(index_job.live_batches(after))).cast("bigint").alias("n_batches"), (F.col("was") == F.col("score")).alias("same"))
+
+
+def _ship_again(spark, path, rows, scratch):
+    """Put one file with ``rows`` in the place of the shard at ``path``, under its name."""
+    shards.write_shards(rows.coalesce(1), scratch, rows_per_file=1 << 40)
+    (made,) = [r["path"] for r in shards.list_shards(spark, scratch).collect()]
+    jvm = spark._jvm
+    target, source = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(made)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(target, False)
+    files.rename(source, target)
+
+
+def _reshipped(spark, sf):
+    """Index of shards, one of which is then shipped again with every vector turned round."""
+
+    def write(path):
+        root = f"{path}/shards"
+        rows = D.as_shard_rows(D.vectors(spark, sf))
+        one = F.substring_index("id", "/W", -1).cast("bigint") % 10 == 1
+        shards.write_shards(rows.where(~one), f"{root}/others", rows_per_file=500)
+        shards.write_shards(rows.where(one).coalesce(1), f"{root}/one", rows_per_file=1 << 40)
+        options = index_job.IndexOptions(nlist=4, pq_m=0, iterations=2, metric="ip")
+        index_job.run(spark, root, f"{path}/index", options)
+        turned = rows.where(one).withColumn("embedding", F.transform("embedding", lambda x: -x))
+        _ship_again(spark, shards.list_shards(spark, f"{root}/one").first()["path"], turned, f"{path}/scratch")
+        index_job.run(spark, root, f"{path}/index", replace_changed=True)
+
+    return staged(spark, sf, "reshipped-index", write) + "/index"
+
+
+@query("reshipped_shard", f"""WITH {D.SQL_VECTORS}
+    SELECT vec_id, round(v[1] * CASE WHEN vec_id % 10 = 1 THEN -1 ELSE 1 END, 5) AS first, CAST(1 AS BIGINT) AS n FROM e""")
+def reshipped_shard(spark, sf):
+    """After a shard was shipped again only its new vectors are found."""
+    path = _reshipped(spark, sf)
+    meta = index_job.check_integrity(spark, path)
+    rows = index_job.postings(spark, path, meta).select(F.substring_index("id", "/W", -1).cast("bigint").alias("vec_id"), "embedding")
+    return rows.groupBy("vec_id").agg(F.round(F.max(F.col("embedding")[0].cast("double")), 5).alias("first"), F.count("*").alias("n"))
+
+
 @query("index_stats", """
     SELECT true AS ready, count(*) AS ntotal, len(any_value(embedding)) AS dim, CAST(4 AS BIGINT) AS nprobe,
            'hashing-64' AS model FROM embeddings""")

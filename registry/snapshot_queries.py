@@ -6,12 +6,11 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as X
 from quire.operators import parts as P
-from quire.operators.ordinals import head
 from quire.plans.embed_job import observed
 from quire.session import new_run_dir
-from quire.sources import ledger, shards, snapshot
+from quire.sources import file_order, ledger, shards, snapshot
 from registry import derive as D
-from registry.base import query, table
+from registry.base import query, staged, table
 
 HTTPS_PART = f"replace(part, '{D.BUCKET}', 'https://corpus-bucket.s3.amazonaws.com/')"
 
@@ -203,8 +202,14 @@ def limit_soft(spark, sf):
 @query("limit_hard", f"""
     WITH {D.SQL_WORKS} SELECT id, part FROM w WHERE in_corpus ORDER BY part, doc_id LIMIT {SHARD_SIZE}""")
 def limit_hard(spark, sf):
-    works = corpus_works(spark, sf).select("part", "doc_id", "id")
-    return head(works, SHARD_SIZE, "part", "doc_id").select("id", "part")
+    """The first rows of files that hold the works by part and document."""
+
+    def write(path):
+        works = corpus_works(spark, sf).select("part", "doc_id", "id")
+        works.repartitionByRange("part", "doc_id").sortWithinPartitions("part", "doc_id").write.option("maxRecordsPerFile", 40).parquet(path)
+
+    path = staged(spark, sf, "ordered-works", write)
+    return file_order.first_rows(spark, path, "part string, doc_id bigint, id string", ["id", "part"], SHARD_SIZE)
 
 
 @query("observed_counts", f"""

@@ -11,8 +11,8 @@ from quire.functions import vectors as V
 from quire.operators import neighbours as N
 from quire.operators import quantiser as Q
 from quire.operators.hydrate import coverage, hydrate, works_in
-from quire.operators.ordinals import head, with_batches, with_ordinal
-from quire.sources import ledger, shards
+from quire import schemas
+from quire.sources import file_order, ledger, shards
 from registry import derive as D
 from registry.base import query
 
@@ -302,44 +302,159 @@ def incremental_add(spark, sf):
     return postings(spark, sf, model, OLD).unionByName(postings(spark, sf, model, NEW)).select("shard", "id", "cell")
 
 
-@query("vector_ordinals", f"{WITH} SELECT vec_id, row_number() OVER (ORDER BY shard, vec_id) - 1 AS ordinal FROM e")
+#: Order in which the rows of ``D.ordered_shards`` lie in the files.
+LAID = "ORDER BY vec_id % 4, vec_id DESC"
+VEC_ID = "CAST(substring_index(id, '/W', -1) AS BIGINT) AS vec_id"
+
+
+@query("vector_ordinals", f"{WITH} SELECT vec_id, row_number() OVER ({LAID}) - 1 AS ordinal FROM e")
 def vector_ordinals(spark, sf):
-    rows = D.vectors(spark, sf).select("shard", "vec_id")
-    return with_ordinal(rows, "shard", "vec_id").select("vec_id", "ordinal")
+    rows = file_order.in_file_order(spark, D.ordered_shards(spark, sf), schemas.SHARD, ["id"])
+    return rows.selectExpr(VEC_ID, "ordinal")
 
 
-@query("batch_ids", f"""{WITH}, o AS (SELECT vec_id, (row_number() OVER (ORDER BY vec_id) - 1) // 64 AS batch_no FROM e)
-    SELECT batch_no, count(*) AS n, min(vec_id) AS first_id FROM o GROUP BY batch_no""")
+@query("batch_ids", f"""{WITH}, o AS (SELECT vec_id, (row_number() OVER ({LAID}) - 1) // 64 AS batch_no FROM e)
+    SELECT batch_no, count(*) AS n, min(vec_id) AS first_id, max(vec_id) AS last_id FROM o GROUP BY batch_no""")
 def batch_ids(spark, sf):
-    rows = with_batches(D.vectors(spark, sf).select("vec_id"), 64, "vec_id")
-    return rows.groupBy("batch_no").agg(F.count("*").alias("n"), F.min("vec_id").alias("first_id"))
+    rows = file_order.with_batches(spark, D.ordered_shards(spark, sf), schemas.SHARD, ["id"], 64).selectExpr(VEC_ID, "batch_no")
+    return rows.groupBy("batch_no").agg(F.count("*").alias("n"), F.min("vec_id").alias("first_id"), F.max("vec_id").alias("last_id"))
 
 
 N_LISTS = 4
 
 
-@query("train_sample_head", f"{WITH} SELECT vec_id, shard FROM e ORDER BY shard, vec_id LIMIT {N_LISTS * 64}")
+@query("train_sample_head", f"{WITH} SELECT vec_id, round(list_sum(v), 4) AS total FROM e {LAID} LIMIT {N_LISTS * 64}")
 def train_sample_head(spark, sf):
-    rows = D.vectors(spark, sf).select("vec_id", "shard")
-    return head(rows, Q.training_rows(N_LISTS), "shard", "vec_id")
+    rows = file_order.first_rows(spark, D.ordered_shards(spark, sf), schemas.SHARD, ["id", "embedding"], Q.training_rows(N_LISTS))
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return rows.withColumn("total", F.round(total, 4)).selectExpr(VEC_ID, "total")
 
 
-@query("train_sample_hash")
+@query("train_sample_hash", f"""{WITH}, n AS (SELECT CAST(floor({N_LISTS * 64} / count(*)::DOUBLE * 4294967296) AS BIGINT) + 1 AS below FROM e)
+    SELECT id, vec_id FROM e, n WHERE CAST('0x' || substr(md5('0:' || id), 1, 8) AS BIGINT) < below""")
 def train_sample_hash(spark, sf):
     rows = D.vectors(spark, sf).select("id", "vec_id")
     return Q.hash_sample(rows, Q.training_rows(N_LISTS) / rows.count())
 
 
-@query("ivf_train")
+# --------------------------------------------------------------------------- training
+ROUNDS = 3
+
+
+def sql_rounds(points: str, codes: str, rounds: int = ROUNDS) -> str:
+    """``k0 ... kN(m, code, v)`` and ``a0 ...(m, vec_id, code, dist)``: plain k-means over ``points(m, vec_id, v)``."""
+    steps = [f"p AS ({points}), k0 AS ({codes})"]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS (SELECT p.m, p.vec_id, arg_min(k.code, {D.sql_l2('p.v', 'k.v')}) AS code, min({D.sql_l2('p.v', 'k.v')}) AS dist
+            FROM p JOIN k{i} k ON k.m = p.m GROUP BY p.m, p.vec_id)""")
+        steps.append(f"""k{i + 1} AS (SELECT m, code, list(x ORDER BY d) AS v FROM (
+            SELECT m, code, d, avg(x) AS x FROM (
+              SELECT m, code, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM a{i} JOIN p USING (m, vec_id))
+            GROUP BY m, code, d) GROUP BY m, code)""")
+    return ", ".join(steps)
+
+
+SQL_WHOLE = ("SELECT 0 AS m, vec_id, v FROM e", "SELECT 0 AS m, cell AS code, v FROM cent")
+SQL_SLICES = tuple(
+    f"SELECT m, {key}, v[m * (len(v) // {PQ_M}) + 1 : (m + 1) * (len(v) // {PQ_M})] AS v FROM {source}, (SELECT unnest(range({PQ_M})) AS m)"
+    for key, source in (("vec_id", "e"), ("cell AS code", "cent"))
+)
+
+
+def trained(spark, sf, m):
+    """Code books after some rounds from the label means."""
+    means = D.quantiser(spark, sf, pq_m=m, metric="l2").books
+    return Q.train(D.corpus(spark, sf), means, iterations=ROUNDS)
+
+
+def flat_codes(books):
+    """``(m, code, d, x)`` of a code-book table, rounded."""
+    flat = books.select(F.col("m").cast("bigint").alias("m"), F.col("code").cast("bigint").alias("code"), F.posexplode("subvector").alias("d", "x"))
+    return flat.withColumn("d", F.col("d").cast("bigint")).withColumn("x", F.round(F.col("x").cast("double"), 4))
+
+
+SQL_CODES = f"SELECT m, code, unnest(range(len(v))) AS d, round(unnest(v), 4) AS x FROM k{ROUNDS}"
+
+
+@query("ivf_train", f"{WITH}, {sql_rounds(*SQL_WHOLE)} {SQL_CODES}")
 def ivf_train(spark, sf):
-    books = Q.train_books(D.corpus(spark, sf), 1, 16)
-    return Q.centroid_table(spark, books[0])
+    return flat_codes(Q.codebook_table(spark, trained(spark, sf, 1).books))
 
 
-@query("pq_train")
+@query("pq_train", f"{WITH}, {sql_rounds(*SQL_SLICES)} {SQL_CODES}")
 def pq_train(spark, sf):
-    books = Q.train_books(D.corpus(spark, sf), PQ_M, 16)
-    return Q.codebook_table(spark, books)
+    return flat_codes(Q.codebook_table(spark, trained(spark, sf, PQ_M).books))
+
+
+@query("train_inertia", f"{WITH}, {sql_rounds(*SQL_WHOLE)}, i AS (" + " UNION ALL ".join(
+    f"SELECT {i} AS round, sum(dist) AS inertia, count(DISTINCT code) AS n_used FROM a{i}" for i in range(ROUNDS)) + """)
+    SELECT round, round(inertia, 3) AS inertia, inertia > lag(inertia, 1, inertia) OVER (ORDER BY round) AS rose FROM i""")
+def train_inertia(spark, sf):
+    """Summed squared distance of each round; it never rises."""
+    inertia = trained(spark, sf, 1).inertia
+    rows = [(i, round(x, 3), x > inertia[max(i - 1, 0)]) for i, x in enumerate(inertia)]
+    return spark.createDataFrame(rows, "round bigint, inertia double, rose boolean")
+
+
+@query("code_use", f"""{WITH} SELECT 16 * {PQ_M} AS n_codes, 0 AS n_idle, {PQ_M} * count(*) AS n_rows FROM e""")
+def code_use(spark, sf):
+    """After training no code is idle: from starts of which all but one lie far off."""
+    starts = D.quantiser(spark, sf, pq_m=PQ_M).books
+    far = Q.np.concatenate([starts[:, :1], starts[:, :1] + 1000 * (1 + Q.np.arange(15, dtype="float64"))[None, :, None]], axis=1)
+    books = Q.train(D.corpus(spark, sf), far.astype("float32"), iterations=8).books
+    used = Q.lloyd_step(D.corpus(spark, sf), books)
+    n_codes = books.shape[0] * books.shape[1]
+    return used.agg(
+        F.lit(n_codes).cast("bigint").alias("n_codes"), (F.lit(n_codes) - F.count("*")).cast("bigint").alias("n_idle"), F.sum("n").alias("n_rows")
+    )
+
+
+# --------------------------------------------------------------------------- two levels of cells
+#: Cells by number in three groups, led by their means.
+GROUP_STARTS = (0, 4, 7)
+SQL_GROUPS = f"""
+grouped AS (SELECT cell, v, CASE WHEN cell < {GROUP_STARTS[1]} THEN 0 WHEN cell < {GROUP_STARTS[2]} THEN 1 ELSE 2 END AS grp FROM cent),
+leaders AS (SELECT grp, list(x ORDER BY d) AS v FROM (
+  SELECT grp, d, avg(x) AS x FROM (SELECT grp, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM grouped) GROUP BY grp, d) GROUP BY grp)"""
+
+
+def grouped_model(spark, sf, metric, probe):
+    model = D.quantiser(spark, sf, metric=metric)
+    starts = Q.np.array([*GROUP_STARTS, model.nlist])
+    leaders = Q.np.stack([model.centroids[a:b].mean(axis=0) for a, b in zip(starts[:-1], starts[1:], strict=True)])
+    return Q.replace(model, leaders=leaders, starts=starts, probe=probe)
+
+
+@query("tree_assign", f"""{WITH}, {SQL_GROUPS},
+    near AS (SELECT vec_id, e.v, arg_min(grp, {D.sql_l2('e.v', 'leaders.v')}) AS grp FROM e, leaders GROUP BY vec_id, e.v)
+    SELECT vec_id, arg_min(cell, {D.sql_l2('near.v', 'grouped.v')}) AS cell FROM near JOIN grouped USING (grp) GROUP BY vec_id""")
+def tree_assign(spark, sf):
+    """The nearest cell of the nearest group."""
+    rows = Q.to_cells(D.vectors(spark, sf).select("vec_id", "embedding"), grouped_model(spark, sf, "l2", 1), vector="embedding")
+    return rows.select("vec_id", F.col("cell").cast("bigint").alias("cell"))
+
+
+@query("tree_assign_full", f"{WITH}, {D.sql_cells('ip')} SELECT vec_id, cell FROM assigned")
+def tree_assign_full(spark, sf):
+    """With every group looked into the cells are those of a model without groups."""
+    rows = Q.to_cells(D.vectors(spark, sf).select("vec_id", "embedding"), grouped_model(spark, sf, "ip", 3), vector="embedding")
+    return rows.select("vec_id", F.col("cell").cast("bigint").alias("cell"))
+
+
+SQL_GROUP_POINTS = (
+    f"SELECT grp AS m, vec_id, v FROM (SELECT vec_id, e.v, arg_min(grp, {D.sql_l2('e.v', 'leaders.v')}) AS grp FROM e, leaders GROUP BY vec_id, e.v)",
+    "SELECT grp AS m, cell AS code, v FROM grouped",
+)
+
+
+@query("tree_train", f"{WITH}, {SQL_GROUPS}, {sql_rounds(*SQL_GROUP_POINTS)} SELECT code, unnest(range(len(v))) AS d, round(unnest(v), 4) AS x FROM k{ROUNDS}")
+def tree_train(spark, sf):
+    """The cells of all groups trained in the same passes, each by the rows of its own group."""
+    model = grouped_model(spark, sf, "l2", 1)
+    rows = D.vectors(spark, sf).select("id", "embedding")
+    grouped = Q.to_cells(rows, Q.Quantiser(model.leaders, "l2"), vector="embedding").withColumnRenamed("cell", "grp")
+    books = Q.train_groups(grouped, model.centroids, model.starts, iterations=ROUNDS).books
+    return flat_codes(Q.codebook_table(spark, books)).drop("m")
 
 
 # --------------------------------------------------------------------------- hydration
