@@ -36,6 +36,8 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 #: The score of a phrase whose parts occur nowhere else.
 SCALE = 1_000_000
 BLOCK_BYTES = 4 << 20
+#: Into which the phrases of a language are dealt to find its best.
+SHARES = 16
 CODEC = "zstd"
 BLOCK_SCHEMA = "block long, n_bytes long, lang string, sizes array<long>, payload binary"
 
@@ -297,6 +299,9 @@ def collocations(
     ).select("lang", F.array_join(F.slice("words", F.col("at.i"), F.col("at.n")), " ").alias("phrase"), "a")
     inside = inside.groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
     kept = scored.join(inside, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * absorb))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= best)
+    # A language may have most phrases: the best of each share of them first, so that few rows of it meet in one task.
+    order = (F.desc("score"), F.desc("a"), F.col("phrase"))
+    shares = kept.withColumn("share", F.pmod(F.hash("phrase"), F.lit(SHARES)))
+    leading = shares.withColumn("place", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order))).where(F.col("place") <= best)
+    ranked = leading.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).where(F.col("rank") <= best)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

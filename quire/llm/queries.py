@@ -128,13 +128,11 @@ def with_repeats(docs: DataFrame) -> DataFrame:
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     chosen = docs.select("doc_id", "text", F.coalesce(h % 10 == 0, F.lit(False)).alias("chosen"), F.expr("crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) div 10").alias("g"))
     words = with_once(chosen, "words", F.when(F.col("chosen"), F.regexp_extract_all("text", F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0))))
-    n = F.size("words").cast("long")
-    a = F.col("g") % n
-    parts = words.where("size(words) > 0").select("doc_id", "words", "g", n.alias("n"), a.cast("int").alias("a")).withColumn("p", F.expr("CAST(1 + (n - a) div (3 + g % 8) AS INT)"))
-    turns = F.expr("CAST((n - a + p - 1) div p AS INT)")
-    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), turns))
-    changed = parts.select("doc_id", F.array_join(F.slice(F.concat(F.slice("words", F.lit(1), F.col("a")), again), F.lit(1), F.col("n").cast("int")), " ").alias("text"))
-    return words.where("coalesce(size(words), 0) <= 0").select("doc_id", "text").unionByName(changed)
+    sized = words.withColumn("n", F.coalesce(F.size("words"), F.lit(0)).cast("long"))
+    placed = sized.withColumn("a", F.expr("CAST(g % greatest(n, 1) AS INT)")).withColumn("p", F.expr("CAST(1 + (n - a) div (3 + g % 8) AS INT)"))
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.expr("CAST((n - a + p - 1) div p AS INT)")))
+    changed = F.slice(F.concat(F.slice("words", F.lit(1), F.col("a")), again), F.lit(1), F.col("n").cast("int"))
+    return placed.select("doc_id", F.when(F.col("n") > 0, F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
 
 
 @query("op12_periodic_runs")
