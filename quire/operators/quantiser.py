@@ -163,6 +163,34 @@ def encode(df: DataFrame, quantiser: Quantiser, *, vector: str = "embedding") ->
     return df.mapInArrow(run, schema)
 
 
+def place(df: DataFrame, quantiser: Quantiser, *, vector: str = "embedding") -> DataFrame:
+    """Add ``cell`` and, with code books, replace the vector by ``codes``: :func:`to_cells` and :func:`encode` in one pass."""
+    model = df.sparkSession.sparkContext.broadcast(quantiser)
+    coded = quantiser.books is not None
+    kept = [c for c in df.columns if not (coded and c == vector)]
+    schema = T.StructType([*[df.schema[c] for c in kept], T.StructField("cell", T.IntegerType())])
+    if coded:
+        schema.add("codes", T.BinaryType())
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            model_ = model.value
+            x = arrow_to_matrix(batch.column(batch.schema.get_field_index(vector)), model_.centroids.dtype)
+            if x.shape[1] != model_.dim:
+                raise ValueError(f"vectors differ in length: {x.shape[1]}, model {model_.dim}")
+            cells = model_.nearest(x)[0][:, 0]
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
+            columns.append(pa.array(cells.astype("int32")))
+            if coded:
+                codes = matrices.encode(x - model_.centroids[cells] if model_.by_residual else x, model_.books)
+                columns.append(pa.array([row.tobytes() for row in codes], type=pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
 def code_numbers(df: DataFrame, quantiser: Quantiser) -> DataFrame:
     """Unpack ``codes`` into rows ``(m, code)``."""
     width = 1 if quantiser.books.shape[1] <= 256 else 2

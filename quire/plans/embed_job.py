@@ -3,22 +3,25 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from quire import schemas
 from quire.functions import text as X
 from quire.functions.embedders import EmbedFn
 from quire.operators.embedding import embed
-from quire.session import exists
+from quire.operators.parts import part_counts, plan_shards, soft_limit
+from quire.session import exists, new_run_dir, remove_dir
 from quire.sources import ledger, shards, snapshot
 
-#: Parts that are counted at a time to find where a limit is reached.
-COUNTED_AT_A_TIME = 16
-#: Parts that are written and put on record together.
-PARTS_PER_BATCH = 16
+#: Parts that are parsed in one Spark job, before anything is embedded.
+PARTS_AT_A_TIME = 32
+#: Columns of the texts that wait to be embedded.
+TEXTS = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.SHARD if f.name != "embedding")
 
 
 @dataclass
@@ -65,18 +68,22 @@ def run(
     mode: str = "title_abstract",
     skip_no_text: bool = True,
     max_works: int | None = None,
-    parts_per_batch: int = PARTS_PER_BATCH,
+    shard_size: int = shards.SHARD_ROWS,
+    parts_per_batch: int | None = None,
+    parts_at_a_time: int = PARTS_AT_A_TIME,
     rows_per_file: int = shards.SHARD_ROWS,
     resolve=lambda url: url,
 ) -> EmbedRun:
     """Embed the parts of the manifest that ``out_dir`` has no record of.
 
-    Shards go to ``shards/batch=N`` and the record to ``parts``, in this order: after a
-    crash in between, batch ``N`` is written again over its leftovers. ``parts_per_batch``
-    bounds what such a crash can cost. With nothing new the call writes nothing.
-    ``max_works`` ends the run after the part that reaches it; later parts aren't read. A folder
-    that a stream writes to is refused. ``resolve`` maps the URL of
-    an entry to a path Spark can read.
+    Parts are parsed ``parts_at_a_time``, once each, and their texts kept in the shared folder, which tells how
+    many each has. A batch closes with the first part that brings it to ``shard_size`` rows (or to
+    ``parts_per_batch`` parts), is embedded, and goes to ``shards/batch=N``; then its parts go on record. What is
+    left over waits for the parts that follow, and at the end makes the last batch. After a crash batch ``N`` is written
+    again over its leftovers, so one batch is what a crash can cost. With nothing new the call writes nothing.
+    ``max_works`` ends the run after the part that reaches it; of later parts no more are read than were parsed
+    along with it. A folder that a stream writes to is refused. ``resolve`` maps the URL of an entry to a path
+    Spark can read.
     """
     X.check_mode(mode)
     if exists(spark, f"{out_dir}/stream"):
@@ -85,7 +92,7 @@ def run(
     manifest = snapshot.read_manifest(spark, manifest_path)
     completed = ledger.read_completed(spark, f"{out_dir}/parts")
     todo = ledger.not_done(snapshot.manifest_parts(manifest), completed, "part").orderBy("pos")
-    batch_id = ledger.next_batch(completed)
+    batch_id = first = ledger.next_batch(completed)
     listed = [(r["pos"], r["part"], resolve(r["url"])) for r in todo.collect()]  # one row per file
     if not listed:
         return EmbedRun(0, 0, 0)
@@ -97,33 +104,86 @@ def run(
             concept_id=concept_id, mode=mode, skip_no_text=skip_no_text,
         )
 
-    if max_works is not None:
-        listed = _up_to(spark, listed, rows_of, max_works)
-    batches = [listed[at : at + parts_per_batch] for at in range(0, len(listed), parts_per_batch)]
-    n_works = 0
-    for number, batch in enumerate(batches, start=batch_id):
-        rows, seen = observed(rows_of([path for _, _, path in batch]), f"batch-{number}")
+    n_parts = n_works = 0
+    for batch in _batches(spark, listed, rows_of, max_works, shard_size, parts_per_batch, parts_at_a_time):
+        waiting = [f"{part.texts}/pos={part.pos}" for part in batch if part.n]
+        rows = spark.read.schema(TEXTS).parquet(*waiting) if waiting else spark.createDataFrame([], TEXTS)
         embedded = embed(rows, embed_fn, spread=True)
-        shards.write_shards(embedded, f"{out_dir}/shards/batch={number:06d}", rows_per_file)
-        done = spark.createDataFrame([(part,) for _, part, _ in batch], "part string")
-        ledger.commit_parts(done, f"{out_dir}/parts", number)
-        n_works += seen.get["n_rows"]
-    return EmbedRun(len(batches), len(listed), n_works, time.monotonic() - began)
-
-
-def _up_to(spark, listed, rows_of, max_works):
-    """The leading parts that together reach ``max_works`` rows with text; only some more are read."""
-    kept, total = [], 0
-    for at in range(0, len(listed), COUNTED_AT_A_TIME):
-        some = listed[at : at + COUNTED_AT_A_TIME]
-        rows = [rows_of([path]).select(F.lit(pos).alias("pos")) for pos, _, path in some]
-        counts = {r["pos"]: r["count"] for r in reduce(DataFrame.unionByName, rows).groupBy("pos").count().collect()}
-        for item in some:
-            if total >= max_works:
-                return kept
-            kept.append(item)
-            total += counts.get(item[0], 0)
-    return kept
+        shards.write_shards(embedded, f"{out_dir}/shards/batch={batch_id:06d}", rows_per_file)
+        done = spark.createDataFrame([(part.name,) for part in batch], "part string")
+        ledger.commit_parts(done, f"{out_dir}/parts", batch_id)
+        batch_id, n_parts, n_works = batch_id + 1, n_parts + len(batch), n_works + sum(part.n for part in batch)
+    return EmbedRun(batch_id - first, n_parts, n_works, time.monotonic() - began)
+
+
+@dataclass(frozen=True)
+class _Part:
+    """A part whose texts lie in ``texts``."""
+
+    pos: int
+    name: str
+    n: int
+    texts: str
+
+
+def _batches(spark, listed, rows_of, max_works, shard_size, parts_per_batch, parts_at_a_time) -> Iterator[list[_Part]]:
+    """Parts that are embedded together, in order. Their texts are deleted once no batch needs the folder."""
+    waiting: list[_Part] = []
+    total, folders = 0, []
+    for at in range(0, len(listed), parts_at_a_time):
+        some = listed[at : at + parts_at_a_time]
+        folder = new_run_dir(spark, "texts")
+        folders.append(folder)
+        rows = [rows_of([path]).select(*_text_columns(), F.lit(pos).alias("pos")) for pos, _, path in some]
+        reduce(DataFrame.unionByName, rows).write.partitionBy("pos").parquet(folder)
+        names = {pos: name for pos, name, _ in some}
+        # Parts go by their place in the manifest, which may name one twice. Counting reads footers only.
+        parts = spark.createDataFrame([(pos, str(pos)) for pos in names], "pos int, part string")
+        works = spark.read.schema(f"{TEXTS}, pos int").parquet(folder).select(F.col("pos").cast("string").alias("part"))
+        counts = part_counts(parts, works)
+        if max_works is not None:
+            counts = soft_limit(counts, max_works - total)
+        found = [_Part(r["pos"], names[r["pos"]], r["n"], folder) for r in counts.orderBy("pos").collect()]  # one row per part
+        total += sum(part.n for part in found)
+        waiting += found
+        full, waiting = _closed(spark, waiting, shard_size, parts_per_batch)
+        for batch in full:
+            yield batch
+        folders = _without_idle(spark, folders, waiting)
+        if max_works is not None and total >= max_works:
+            break
+    if waiting:
+        yield waiting
+    _without_idle(spark, folders, [])
+
+
+def _text_columns() -> list[str]:
+    return [f.name for f in schemas.SHARD if f.name != "embedding"]
+
+
+def _closed(spark, waiting: list[_Part], shard_size: int, parts_per_batch: int | None) -> tuple[list[list[_Part]], list[_Part]]:
+    """Batches that are full, and the parts of the one that isn't."""
+    counts = spark.createDataFrame([(p.pos, p.name, p.n) for p in waiting], "pos int, part string, n bigint")
+    number = {r["pos"]: r["shard_idx"] for r in plan_shards(counts, shard_size).collect()}  # one row per part
+    full: list[list[_Part]] = []
+    batch: list[_Part] = []
+    for i, part in enumerate(waiting):
+        batch.append(part)
+        last = i + 1 == len(waiting)
+        filled = sum(p.n for p in batch) >= shard_size if last else number[waiting[i + 1].pos] != number[part.pos]
+        if filled or len(batch) == parts_per_batch:
+            full.append(batch)
+            batch = []
+    return full, batch
+
+
+def _without_idle(spark, folders: list[str], waiting: list[_Part]) -> list[str]:
+    """Delete the folders no waiting part has texts in; the others are returned."""
+    needed = {part.texts for part in waiting}
+    for folder in folders:
+        if folder not in needed:
+            remove_dir(spark, folder)
+    return [f for f in folders if f in needed]
 
 
 def committed_shards(spark: SparkSession, out_dir: str) -> list[str]:

@@ -38,6 +38,14 @@ def new_run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by :func:`new_run_dir` that nothing needs any more."""
+    if not path.startswith(shared_dir(spark) + "/"):
+        raise ValueError(f"{path!r} does not lie in the shared folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def stable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so that re-reading it gives the same partitions."""
     shared_dir(df.sparkSession)

@@ -108,7 +108,7 @@ def run_embed_job(spark, sf):
         return url.replace(prefix, root + "/").rsplit("/", 1)[0]
 
     for _ in range(2):
-        embed_job.run(spark, D.manifest_path(spark, sf), out, EMBED, resolve=resolve, parts_per_batch=14)
+        embed_job.run(spark, D.manifest_path(spark, sf), out, EMBED, resolve=resolve, shard_size=100)
     paths = embed_job.committed_shards(spark, out)
     return _with_dim(spark.read.schema(D.schemas.SHARD).parquet(*paths))
 

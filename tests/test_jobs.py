@@ -110,6 +110,58 @@ def test_embed_job_goes_on_after_a_crash(spark, snap, tmp_path):
     assert shard_ids(spark, out) == [*range(30), *range(40, 60)]
 
 
+def test_embed_job_cuts_batches_by_size(spark, snap, tmp_path):
+    """A batch closes at the first part end past the size, whatever is parsed at a time; the rest makes the last one."""
+    for i in range(5):
+        snap.add(f"2024-02-0{i + 1}", [work(100 * i + j + 1000) for j in range(7)])
+    for name, at_a_time in (("a", 1), ("b", 3), ("c", 100)):
+        out = tmp_path / name
+        run = snap.embed(spark, out, shard_size=20, parts_at_a_time=at_a_time)
+        done = embed_job.ledger.read_completed(spark, str(out / "parts")).collect()
+        parts = {}
+        for r in done:
+            parts.setdefault(r["batch_id"], []).append(r["part"].split("updated_date=2024-")[1][:5])
+        # 30 | 0 + 20 | 7 + 7 + 7 | 7 + 7
+        assert [sorted(parts[i]) for i in range(4)] == [["01-01"], ["01-02", "01-03"], ["02-01", "02-02", "02-03"], ["02-04", "02-05"]]
+        assert (run.n_batches, run.n_parts, run.n_works) == (4, 8, 85) and len(set(shard_ids(spark, out))) == 85
+    assert snap.embed(spark, tmp_path / "a", shard_size=20).n_batches == 0
+
+
+def test_embed_job_goes_on_after_a_crash_between_commits(spark, snap, tmp_path, monkeypatch):
+    out = tmp_path / "out"
+    commit, seen = embed_job.ledger.commit_parts, []
+
+    def fails_once(parts, path, batch_id):
+        seen.append(batch_id)
+        if len(seen) == 2:
+            raise OSError("driver gone")
+        commit(parts, path, batch_id)
+
+    monkeypatch.setattr(embed_job.ledger, "commit_parts", fails_once)
+    with pytest.raises(OSError):
+        snap.embed(spark, out, shard_size=10)
+    assert shard_ids(spark, out) == list(range(30))  # the second batch is written, but not on record
+    rest = snap.embed(spark, out, shard_size=10)
+    assert (rest.n_batches, rest.n_works, seen) == (1, 20, [0, 1, 1])
+    assert shard_ids(spark, out) == [*range(30), *range(40, 60)]
+
+
+def test_embed_job_reads_each_part_once(spark, snap, tmp_path, monkeypatch):
+    from quire.sources import snapshot
+
+    read, real = [], snapshot.read_lines
+    monkeypatch.setattr(snapshot, "read_lines", lambda s, paths, **kw: read.append(paths) or real(s, paths, **kw))
+    before = len(list((tmp_path).rglob("texts-*")))
+    snap.embed(spark, tmp_path / "out", max_works=40, parts_at_a_time=2, shard_size=1)
+    assert sum(map(len, read)) == 3 and len(list((tmp_path).rglob("texts-*"))) == before
+
+
+def test_a_part_named_twice(spark, snap, tmp_path):
+    snap.urls.append(snap.urls[0])
+    snap.add("2024-04-01", [])
+    assert snap.embed(spark, tmp_path / "out", shard_size=1).n_works == 80
+
+
 def test_embed_checks(spark):
     df = spark.createDataFrame([("a",)], "text string")
     with pytest.raises(Exception, match="1 texts gave a matrix"):
