@@ -42,15 +42,11 @@ def _thin(links: DataFrame) -> DataFrame:
     return links.mapInArrow(thin, "a long, b long")
 
 
-#: So many links are joined in one task at most; of more, each task joins its own before the rounds.
-LOCAL_LINKS = 200_000
-
-
-def components(links: DataFrame, most_rounds: int = 50, local_links: int = LOCAL_LINKS) -> DataFrame:
+def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b): root is the smallest node it reaches.
 
     Null ends and links from a node to itself are ignored. Each round is written to the shared
-    folder. Only sums come to the driver. Up to ``local_links`` links need no rounds.
+    folder. Only sums come to the driver. Each task joins its own links before the first round.
     """
     spark = links.sparkSession
 
@@ -61,8 +57,6 @@ def components(links: DataFrame, most_rounds: int = 50, local_links: int = LOCAL
 
     links = links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
     links = written(links)
-    if links.count() <= local_links:
-        return _with_roots(written(_thin(links.coalesce(1))))
     stars = written(_thin(links).distinct())
     before = None
     for _ in range(most_rounds):

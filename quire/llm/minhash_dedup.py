@@ -6,9 +6,10 @@ of registers find candidates, the share of equal registers, corrected for those
 chance, estimates their similarity, and what is left is compared on full sets.
 
 Documents with equal sets are one node throughout. A band with few nodes gives all their
-pairs; one with many gives pairs with a few centres and with some others drawn by hash, and once
-components are known, the pairs between nodes that are still apart. So a group of many near copies
-is linked by a few pairs of each, and no link is lost.
+pairs. Of bands with many, each node first takes the one that most nodes share and is compared with its
+centres; once components are known, each band's components with its commonest; and last the nodes that are still
+apart with all that bands connect them to. So a group of many near copies is linked by a few pairs
+of each, and no link is lost.
 """
 
 from __future__ import annotations
@@ -30,8 +31,6 @@ EMPTY = 0xFFFF
 FEW = 24
 #: Standard errors below the threshold at which an estimate rules a pair out.
 MARGIN = 4.5
-#: Others that each node of a large band is first compared with, besides its centre.
-NEIGHBOURS = 2
 GROUP = 128
 #: Nodes of a cluster that are compared with as many others in one task.
 CHUNK = 512
@@ -134,17 +133,6 @@ def _bands(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "n_shingles", "registers").mapInArrow(bands, "band long, node long, n long")
 
 
-def _centres(n: np.ndarray, percent: int) -> np.ndarray:
-    """For nodes in order of size: the place of each one's centre, the first it can be similar to."""
-    out = np.empty(len(n), dtype=np.int64)
-    at = 0
-    while at < len(n):
-        end = int(np.searchsorted(n, n[at] * 100 // percent, "right"))
-        out[at:end] = at
-        at = max(end, at + 1)
-    return out
-
-
 def _few_pairs(members: DataFrame, percent: int) -> DataFrame:
     """All pairs of each band that may be similar by size."""
     a, b = members.toDF("band", "a", "na"), members.toDF("band", "b", "nb")
@@ -152,25 +140,35 @@ def _few_pairs(members: DataFrame, percent: int) -> DataFrame:
     return a.join(b, "band").where(near).select("a", "b")
 
 
-def _many_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of the nodes of each band with a centre, and with their next ones in a shuffled row."""
+def _by_size(members: DataFrame, percent: int) -> DataFrame:
+    """Each member twice, in classes of size whose bounds lie half a class apart.
+
+    Nodes of a class are near enough in size to be similar, and a group that spreads over some classes of one
+    kind is held together by those of the other.
+    """
+    place = F.log(F.col("n")) / float(np.log(100 / percent))
+    return members.withColumn("size", F.explode(F.array((F.floor(place) * 2).cast("long"), (F.floor(place + 0.5) * 2 + 1).cast("long"))))
+
 
-    def pairs(table: pa.Table) -> pa.Table:
-        node, n = table.column("node").to_numpy(), table.column("n").to_numpy()
-        order = np.lexsort((node, n))
-        node, n = node[order], n[order]
-        low, high = [node[_centres(n, percent)]], [node]
-        turn = np.argsort(mix(node.view(np.uint64) ^ table.column("band").to_numpy().view(np.uint64)))
-        for step in range(1, NEIGHBOURS + 1):
-            a, b = turn[:-step], turn[step:]
-            near = np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * percent
-            low.append(node[a[near]])
-            high.append(node[b[near]])
-        low, high = np.concatenate(low), np.concatenate(high)
-        keep = low != high
-        return pa.table({"a": pa.array(np.minimum(low, high)[keep]), "b": pa.array(np.maximum(low, high)[keep])})
+def _first_pairs(large: DataFrame, percent: int) -> DataFrame:
+    """For each node of a large band its pairs with the centres of the band that most nodes share: two at most."""
+    centres = _by_size(large, percent).groupBy("band", "size").agg(F.min_by("node", F.struct(F.xxhash64("node"), "node")).alias("centre"))
+    own = large.groupBy("node").agg(F.max_by(F.struct("band", "n"), F.struct("members", "band")).alias("x")).select("node", "x.band", "x.n")
+    pairs = _by_size(own, percent).join(centres, ["band", "size"]).where("node <> centre")
+    return pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
 
-    return members.groupBy("band").applyInArrow(pairs, "a long, b long")
+
+def _next_pairs(large: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """In each large band, for each component but the commonest, the pair of a node of both.
+
+    A component is one row for a band and class of sizes, and is counted before anything of the band meets.
+    """
+    named = large.join(roots, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root"))
+    node = F.min_by("node", F.struct(F.xxhash64("node"), "node")).alias("node")
+    parts = _by_size(named, percent).groupBy("band", "size", "root").agg(node, F.count("*").alias("held"))
+    main = parts.groupBy("band", "size").agg(F.max_by(F.struct("root", "node"), F.struct("held", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    pairs = parts.join(main, ["band", "size"]).where("root <> main.root")
+    return pairs.select(F.least("node", "main.node").alias("a"), F.greatest("node", "main.node").alias("b")).distinct()
 
 
 def _similar(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -307,10 +305,14 @@ def minhash_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: st
     shared = written(bands.join(counts, "band"))
     same_id = full.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id")
     same_id = full.join(same_id, "doc_id").join(full.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").select("a", F.col("node").alias("b"))
-    few, large = shared.where(f"members <= {FEW}").drop("members"), shared.where(f"members > {FEW}").drop("members")
-    tried = written(_few_pairs(few, percent).unionByName(_many_pairs(large, percent)).distinct())
-    links = written(_confirmed(written(_similar(tried, nodes, percent)), nodes, docs, percent, width, id_col, text_col).unionByName(same_id))
+    few, large = shared.where(f"members <= {FEW}").drop("members"), shared.where(f"members > {FEW}")
+
+    def confirmed(pairs):
+        return written(_confirmed(written(_similar(written(pairs), nodes, percent)), nodes, docs, percent, width, id_col, text_col))
+
+    links = confirmed(_few_pairs(few, percent).unionByName(_first_pairs(large, percent)).distinct()).unionByName(same_id)
     if large.limit(1).count():
+        links = links.unionByName(confirmed(_next_pairs(large, components(links), percent)))
         links = links.unionByName(written(_rest(large, components(links), nodes, docs, percent, width, id_col, text_col)))
     roots = components(links)
     named = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -43,6 +43,8 @@ LEAST, LEAST_TOXIC = 10, 4
 TELLING = 3
 #: Words handled before counts leave a task.
 FLUSH = 1 << 20
+#: Words whose hashes are kept.
+REMEMBERED = 1 << 18
 #: Bytes of texts in a block.
 BLOCK = 4 << 20
 
@@ -51,7 +53,7 @@ class Hashes(dict):
     """64-bit hashes by word, kept for words that come again."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= FLUSH:
+        if len(self) >= REMEMBERED:
             self.clear()
         value = self[word] = int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
         return value

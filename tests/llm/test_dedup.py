@@ -9,7 +9,7 @@ import pytest
 
 from quire.llm import blocks as B
 from quire.llm.hashing import between, prefix, rolling, word_hashes
-from quire.llm.minhash_dedup import EMPTY, REGISTERS, UPPER, _centres, estimate, minhash_dedup, registers
+from quire.llm.minhash_dedup import EMPTY, REGISTERS, UPPER, _by_size, _first_pairs, _next_pairs, estimate, minhash_dedup, registers
 from quire.llm.substring_dedup import COVERS, period_for, substring_dedup
 from quire.llm.suffix_dedup import earlier, suffix_dedup
 
@@ -185,9 +185,43 @@ def test_registers_estimate_similarity():
     assert (registers(np.zeros(0, np.uint64)) == EMPTY).all() and len(registers(pool)) == REGISTERS
 
 
-def test_centres_are_similar_in_size():
-    n = np.array([10, 11, 12, 13, 20, 25, 26])
-    assert _centres(n, 80).tolist() == [0, 0, 0, 3, 4, 4, 6]
+def test_classes_of_size(spark):
+    rows = [(1, i, n) for i, n in enumerate([10, 11, 12, 13, 20, 25, 26, 1000, 1])]
+    found = {}
+    for r in _by_size(spark.createDataFrame(rows, "band long, node long, n long"), 80).collect():
+        found.setdefault(r.size, []).append(r.n)
+    assert all(100 * min(x) >= 79 * max(x) for x in found.values())
+    assert sum(map(len, found.values())) == 2 * len(rows)
+    assert any({10, 11} <= set(x) for x in found.values()) and any({25, 26} <= set(x) for x in found.values())
+
+
+def test_a_large_group_makes_few_pairs(spark):
+    """A group of n near copies gives at most 2 n pairs, then none once it is one component."""
+    n = 500
+    rows = [(band, node, 100 + node % 60, n) for band in range(40) for node in range(n) if (node + band) % 7]
+    large = spark.createDataFrame(rows, "band long, node long, n long, members long")
+    pairs = _first_pairs(large, 80)
+    assert 0 < pairs.count() <= 2 * n and pairs.where("a >= b").count() == 0
+    one = spark.createDataFrame([(i, 0) for i in range(n)], "node long, root long")
+    assert _next_pairs(large, one, 80).count() == 0
+    apart = spark.createDataFrame([(i, 0 if i >= 10 else i) for i in range(n)], "node long, root long")
+    left = _next_pairs(large, apart, 80)
+    assert 9 <= left.count() <= 9 * 40 * 2 and left.where("a >= 10 AND b >= 10").count() == 0
+
+
+def test_a_large_group_of_near_copies(spark):
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    base = rnd.choices(words, k=150)
+    rows = []
+    for i in range(300):
+        own = list(base)
+        for _ in range(rnd.randint(0, 4)):
+            own[rnd.randrange(len(own))] = rnd.choice(words)
+        rows.append((i, " ".join(own)))
+    rows += [(1000 + i, " ".join(rnd.choices(words, k=150))) for i in range(100)]
+    got = [tuple(r) for r in minhash_dedup(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()]
+    assert sorted(got) == sorted(similar_sets(rows, 4, 80))
 
 
 def test_digest_of_kept_words(spark):
