@@ -69,20 +69,41 @@ def reconstruct_abstract(index: Column) -> Column:
     the empty token; gaps are skipped and white space is squeezed.
     """
 
-    def is_last(slots, slot, j):
-        following = F.get(slots, j + 1)
-        return following.isNull() | (F.shiftright(following, 32) != F.shiftright(slot, 32))
+    def tokens(source):
+        placed = F.transform(_last_slots(source["slots"]), lambda slot: _token(source["keys"], slot))
+        return F.array_join(F.filter(placed, lambda token: token != ""), " ")
+
+    return non_empty(squeeze(let(_keys_and_slots(index), tokens)))
+
+
+def slot_tokens(index: Column) -> Column:
+    """``array<struct<p: bigint, token: string>>``: each position of an inverted index with the token that holds it."""
 
     def tokens(source):
-        keys, slots = source["keys"], source["slots"]
-        kept = F.filter(slots, lambda slot, j: is_last(slots, slot, j))
-        placed = F.transform(
-            kept, lambda slot: F.get(keys, slot.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+        return F.transform(
+            _last_slots(source["slots"]),
+            lambda slot: F.struct(F.shiftright(slot, 32).alias("p"), _token(source["keys"], slot).alias("token")),
         )
-        return F.array_join(F.filter(placed, lambda token: token != ""), " ")
 
-    source = F.struct(F.map_keys(index).alias("keys"), placed_tokens(index).alias("slots"))
-    return non_empty(squeeze(let(source, tokens)))
+    return let(_keys_and_slots(index), tokens)
+
+
+def _keys_and_slots(index: Column) -> Column:
+    return F.struct(F.map_keys(index).alias("keys"), placed_tokens(index).alias("slots"))
+
+
+def _last_slots(slots: Column) -> Column:
+    """Of the placed tokens that share a position the last in map order."""
+
+    def is_last(slot, j):
+        following = F.get(slots, j + 1)
+        return following.isNull() | (F.shiftright(following, 32) != F.shiftright(slot, 32))
+
+    return F.filter(slots, is_last)
+
+
+def _token(keys: Column, slot: Column) -> Column:
+    return F.get(keys, slot.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
 
 
 def max_position(index: Column) -> Column:

@@ -17,6 +17,7 @@ from quire.operators.blocks import (
     BLOCK_ROWS, join_blocks, pack, rank_hits, score_pairs, vector_dtype,
 )
 from quire.operators.quantiser import Quantiser, to_cells
+from quire.session import broadcast_limit, new_run_dir, stable
 
 METRICS = ("ip", "l2")
 
@@ -44,11 +45,28 @@ def flat_scores(metric: str, dtype: str):
 def exact_neighbours(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "ip") -> DataFrame:
     """The ``k`` best corpus rows for each query, by scoring all of them.
 
-    The corpus is packed where it lies. Queries form ``n / BLOCK_ROWS`` groups, and each
-    corpus block meets each group.
+    The corpus is packed where it lies, and stays there: queries whose vectors are beyond the session's limit for
+    broadcasts are dealt to as many passes over the corpus as it takes, and the hits of each pass are written to
+    the shared folder. Only if the limit doesn't even hold one vector are corpus blocks shuffled.
     """
     check_metric(metric)
     n, size = _size(queries)
+    limit = broadcast_limit(queries.sparkSession)
+    if size <= limit or limit < size // n:
+        return _one_pass(queries, corpus, k, metric, n, size)
+    # Passes are of about equal size; half the limit leaves room for the largest.
+    passes = math.ceil(2 * size / limit)
+    dealt = stable(queries.withColumn("_pass", F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(passes)).cast("int")))
+    counts = {r["_pass"]: r["count"] for r in dealt.groupBy("_pass").count().collect()}  # one row per pass
+    path = new_run_dir(queries.sparkSession, "hits")
+    for number, count in sorted(counts.items()):
+        some = dealt.where(F.col("_pass") == number).drop("_pass")
+        _one_pass(some, corpus, k, metric, count, math.ceil(size * count / n)).write.parquet(f"{path}/pass={number}")
+    return queries.sparkSession.read.parquet(path).drop("pass")
+
+
+def _one_pass(queries: DataFrame, corpus: DataFrame, k: int, metric: str, n: int, size: int) -> DataFrame:
+    """Queries form ``n / BLOCK_ROWS`` groups, and each corpus block meets each group."""
     groups = max(1, math.ceil(n / BLOCK_ROWS))
     grouped = queries.withColumn(
         "grp", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int")

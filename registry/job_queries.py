@@ -9,7 +9,7 @@ from quire.operators.embedding import embed
 from quire.operators.hydrate import nest
 from quire.operators.neighbours import cell_neighbours
 from quire.plans import embed_job, index_job, search_job
-from quire.session import new_run_dir
+from quire.session import new_run_dir, remove_dir
 from quire.sources import shards, snapshot
 from quire.streaming.ingest import index_batches, ingest_parts
 from registry import derive as D
@@ -113,6 +113,34 @@ def run_embed_job(spark, sf):
     return _with_dim(spark.read.schema(D.schemas.SHARD).parquet(*paths))
 
 
+BATCH_ROWS = 100
+
+
+@query("embed_batches", f"""
+    WITH RECURSIVE {D.SQL_WORKS},
+    n AS (SELECT part, count(*) FILTER (in_corpus AND text IS NOT NULL) AS n, row_number() OVER (ORDER BY part) - 1 AS pos FROM t GROUP BY part),
+    walk AS (
+      SELECT pos, part, n, CAST(0 AS BIGINT) AS batch_id, n AS filled FROM n WHERE pos = 0
+      UNION ALL
+      SELECT n.pos, n.part, n.n, walk.batch_id + CASE WHEN walk.filled >= {BATCH_ROWS} THEN 1 ELSE 0 END,
+             CASE WHEN walk.filled >= {BATCH_ROWS} THEN n.n ELSE walk.filled + n.n END
+      FROM walk JOIN n ON n.pos = walk.pos + 1)
+    SELECT replace(part, '{D.BUCKET}', 'https://corpus-bucket.s3.amazonaws.com/') AS part, batch_id,
+           CAST(sum(n) OVER (PARTITION BY batch_id) AS BIGINT) AS n_rows FROM walk""")
+def embed_batches(spark, sf):
+    """Batches the job cuts at the first part end past so many rows, as its record and its shards have them."""
+    root, out = D.snapshot_root(spark, sf), new_run_dir(spark, "embedded")
+    prefix = D.BUCKET + "data/works/"
+    embed_job.run(
+        spark, D.manifest_path(spark, sf), out, EMBED, shard_size=BATCH_ROWS, parts_at_a_time=5,
+        resolve=lambda url: url.replace(prefix, root + "/").rsplit("/", 1)[0],
+    )
+    done = embed_job.ledger.read_completed(spark, f"{out}/parts")
+    rows = spark.read.option("basePath", f"{out}/shards").schema(D.schemas.SHARD).parquet(*embed_job.committed_shards(spark, out))
+    counts = rows.groupBy(F.regexp_extract(F.col("_metadata.file_path"), "batch=([0-9]+)", 1).cast("bigint").alias("batch_id")).agg(F.count("*").alias("n_rows"))
+    return done.join(counts, "batch_id", "left").select("part", "batch_id", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
 # --------------------------------------------------------------------------- index
 SMALL = index_job.IndexOptions(nlist=8, pq_m=8, pq_nbits=4, iterations=3)
 
@@ -365,8 +393,10 @@ def stream_ingest(spark, sf):
 @query("stream_commit", f"""{WITH} SELECT updated_date, CAST(1 AS BIGINT) AS n_records
     FROM w GROUP BY updated_date""")
 def stream_commit(spark, sf):
-    """Two runs of the stream; each part folder is on record in one batch only."""
+    """Runs of the stream, one of which loses its own commit; each part folder is on record in one batch only."""
     out = new_run_dir(spark, "stream")
+    ingest_parts(spark, D.snapshot_root(spark, sf), out, EMBED).awaitTermination()
+    remove_dir(spark, f"{out}/stream/commits")
     for _ in range(2):
         ingest_parts(spark, D.snapshot_root(spark, sf), out, EMBED).awaitTermination()
     done = embed_job.ledger.read_completed(spark, f"{out}/parts")
@@ -374,6 +404,18 @@ def stream_commit(spark, sf):
     return done.groupBy(day).agg(F.count_distinct("batch_id").alias("n_records"))
 
 
+@query("stream_admission", f"{WITH} SELECT count(DISTINCT updated_date) AS n_days, true AS few_files, true AS many_batches FROM w")
+def stream_admission(spark, sf):
+    """With a limit on files no batch takes more of them, and all get on record."""
+    out = new_run_dir(spark, "stream")
+    ingest_parts(spark, D.snapshot_root(spark, sf), out, EMBED, max_files=5).awaitTermination()
+    done = embed_job.ledger.read_completed(spark, f"{out}/parts")
+    day = snapshot.updated_date(F.col("part"))
+    batches = done.groupBy("batch_id").agg(F.count("*").alias("n")).agg(F.max("n").alias("most"), F.count("*").alias("batches"))
+    days = done.agg(F.count_distinct(day).alias("n_days"))
+    return days.crossJoin(batches).select("n_days", (F.col("most") <= 5).alias("few_files"), (F.col("batches") > 1).alias("many_batches"))
+
+
 @query("stream_index_add", f"{WITH} SELECT id, CAST(1 AS BIGINT) AS n FROM t WHERE in_corpus AND text IS NOT NULL")
 def stream_index_add(spark, sf):
     out, index = new_run_dir(spark, "stream"), new_run_dir(spark, "index")

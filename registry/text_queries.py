@@ -63,12 +63,9 @@ def abstract_stats(spark, sf):
                  generate_subscripts(string_split(text, ' '), 1) - 1 AS p
           FROM documents WHERE doc_id % 11 <> 0)""")
 def slot_last_wins(spark, sf):
-    """The collision rule in relational form: the last map entry holds a position."""
-    entries = D.works(spark, sf).select("doc_id", F.posexplode(F.map_entries(INDEX)).alias("i", "e"))
-    slots = entries.select("doc_id", "i", F.col("e.key").alias("token"), F.explode("e.value").alias("p"))
-    return slots.where("p >= 0").groupBy("doc_id", "p").agg(
-        F.max_by("token", "i").alias("token")
-    ).withColumn("p", F.col("p").cast("bigint"))
+    """Each position with the token that holds it, found within the row: nothing is shuffled."""
+    slots = D.works(spark, sf).select("doc_id", F.explode(X.slot_tokens(INDEX)).alias("s"))
+    return slots.select("doc_id", "s.p", "s.token")
 
 
 def _texts(mode, column):

@@ -33,11 +33,12 @@ SQL_HITS = "SELECT query_id, id, round(score, 6) AS score, rank FROM hits"
 
 
 # --------------------------------------------------------------------------- functions
-@query("vector_scan", f"{WITH} SELECT vec_id, shard, len(v) AS dim, round(sqrt(list_dot_product(v, v)), 6) AS norm FROM e")
+@query("vector_scan", f"{WITH} SELECT vec_id, true AS from_shard, len(v) AS dim, round(sqrt(list_dot_product(v, v)), 6) AS norm FROM e")
 def vector_scan(spark, sf):
-    return D.vectors(spark, sf).select(
-        "vec_id", "shard", F.size("embedding").cast("bigint").alias("dim"),
-        F.round(V.norm(F.col("embedding")), 6).alias("norm"),
+    """Ids and vectors read back from shard files, with the file each lies in."""
+    rows = shards.read_vectors(spark, D.ordered_shards(spark, sf))
+    return rows.selectExpr(VEC_ID, "endswith(shard, '.parquet') AS from_shard", "embedding").select(
+        "vec_id", "from_shard", F.size("embedding").cast("bigint").alias("dim"), F.round(V.norm(F.col("embedding")), 6).alias("norm")
     )
 
 
@@ -271,6 +272,21 @@ def adc_search_residual_l2(spark, sf):
     return _coarse(ivf(spark, sf, "l2", pq_m=PQ_M, by_residual=True))
 
 
+@query("knn_exact_passes", f"{WITH}, {D.sql_exact('ip', K)} {SQL_HITS}")
+def knn_exact_passes(spark, sf):
+    """Exact search whose queries exceed what may be broadcast: some passes over a corpus that stays in place."""
+    size = D.vectors(spark, sf).agg(8 * F.sum(F.size("embedding"))).first()[0]
+    before = spark.conf.get("quire.broadcast.maxBytes", None)
+    spark.conf.set("quire.broadcast.maxBytes", str(size // 2))
+    try:
+        return rounded(exact(spark, sf))
+    finally:
+        if before is None:
+            spark.conf.unset("quire.broadcast.maxBytes")
+        else:
+            spark.conf.set("quire.broadcast.maxBytes", before)
+
+
 # --------------------------------------------------------------------------- shards and growth
 OLD = "shard IN ('corpus_000000.parquet', 'corpus_000001.parquet')"
 NEW = f"NOT {OLD}"

@@ -192,6 +192,21 @@ def test_uneven_vectors_fail(spark):
         Q.to_cells(df.coalesce(1), model, vector="embedding").collect()
 
 
+@pytest.mark.parametrize("metric", ["ip", "l2"])
+def test_exact_search_in_passes(spark, data, metric):
+    """Queries beyond the limit take passes over a corpus that isn't shuffled, with the same hits."""
+    x, q = data
+    rows, asked = frame(spark, x), queries(spark, q)
+    want = found(N.exact_neighbours(asked, rows, 5, metric))
+    spark.conf.set("quire.broadcast.maxBytes", str(8 * q.size // 3))
+    try:
+        assert found(N.exact_neighbours(asked, rows, 5, metric)) == want
+        plan = N._one_pass(asked.limit(3), rows, 5, metric, 3, 100)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.unset("quire.broadcast.maxBytes")
+
+
 def test_few_probes_drop_other_cells_first(spark, data):
     x, q = data
     model = Q.Quantiser(x[:100].astype("float64"), "l2")
