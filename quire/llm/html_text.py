@@ -30,7 +30,7 @@ BLOCK = set(
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = set(
     "nav footer aside form button select option optgroup textarea input script style noscript template iframe svg canvas object audio video"
-    " head title menu dialog search xmp noembed noframes math".split()
+    " head title menu dialog search xmp noembed noframes annotation annotation-xml".split()
 )
 NEVER_DROPPED = {"html", "body", "article", "main"}
 #: Elements that an equal one (or another of the group) closes, unless an element of the second set is nearer.
@@ -50,6 +50,10 @@ BOILERPLATE = re.compile(
     r"(?:^|[\s_-])(?:ads?|adsbygoogle|advert\w*|sponsor\w*|promo\w*|banner|cookies?\w*|consent|gdpr|notices?|alert|newsletter|subscri\w+|popup|modal|overlay"
     r"|sidebar|sidenav|menu\w*|nav|navbar|navigation|breadcrumbs?|footer|foot|colophon|comments?|commentlist|disqus|respond|replies|share|sharing|social"
     r"|related|recommend\w*|widgets?|toolbar|pagination|pager|login|signup|skip|complementary|contentinfo)(?:$|[\s_-])", re.I)
+#: Characters of paragraphs that an element holds before it can be the page's text against a part of its class.
+MAIN_CHARS = 250
+#: Words that name reader comments wherever they stand in a class.
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|respond|replies)(?:$|[\s_-])", re.I)
 PAGE_HEAD = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?:$|[\s_-])", re.I)
 GOOD = re.compile(r"article|body|content|entry|main|page|post|text|blog|story", re.I)
 
@@ -57,6 +61,7 @@ GOOD = re.compile(r"article|body|content|entry|main|page|post|text|blog|story",
 def main_text(page: str) -> str:
     """The page's main text; blocks in page order, joined by one space."""
     tags, parents, dropped, weights, within = ["#"], [-1], [False], [0.0], [False]
+    doubtful: list[int] = []  # elements that a part of a class names as no text
     blocks: list[list] = []  # element, text, characters within links
     parts: list[str] = []
     linked = 0
@@ -124,7 +129,12 @@ def main_text(page: str) -> str:
         inside = within[above]
         gone = dropped[above] or tag in DROPPED or bool(attrs and HIDDEN.search(attrs))
         if not gone and tag not in NEVER_DROPPED:
-            gone = bool(name and BOILERPLATE.search(name)) or not inside and (tag == "header" or bool(name and PAGE_HEAD.search(name)))
+            gone = not inside and tag == "header"
+            if not gone and name and (BOILERPLATE.search(name) or not inside and PAGE_HEAD.search(name)):
+                # A whole class, id or role says what an element is; a part of one may say what it has ("with-sidebar").
+                gone = bool(COMMENTS.search(name)) or any(BOILERPLATE.fullmatch(x) or not inside and PAGE_HEAD.fullmatch(x) for x in name.split())
+                if not gone:
+                    doubtful.append(len(tags))
         tags.append(tag)
         parents.append(above)
         dropped.append(gone)
@@ -133,7 +143,35 @@ def main_text(page: str) -> str:
         stack.append(len(tags) - 1)
         links += tag == "a"
     flush()
-    return _select(tags, parents, weights, blocks)
+    return _select(tags, parents, weights, _without(doubtful, tags, parents, blocks))
+
+
+def _worth(text: str, linked: int) -> float:
+    """Points of a paragraph: for its length and commas, less the share of its characters that are links."""
+    return (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text))
+
+
+def _without(doubtful, tags, parents, blocks):
+    """The blocks without those in doubtful elements, unless one holds most of the page's paragraph points.
+
+    It takes some text for that: on a page that has hardly any, a notice may be most of it.
+    """
+    if not doubtful:
+        return blocks
+    points, chars = [0.0] * len(tags), [0] * len(tags)
+    for owner, text, linked in blocks:
+        if tags[owner] in PARAGRAPHS:
+            points[owner] += _worth(text, linked)
+            chars[owner] += len(text) - linked
+    for i in range(len(tags) - 1, 0, -1):
+        points[parents[i]] += points[i]
+        chars[parents[i]] += chars[i]
+    gone = [False] * len(tags)
+    for i in doubtful:
+        gone[i] = 2 * points[i] <= points[0] or chars[i] < MAIN_CHARS
+    for i in range(1, len(tags)):
+        gone[i] |= gone[parents[i]]
+    return [b for b in blocks if not gone[b[0]]]
 
 
 def _close_open(tag, tags, stack, close):
@@ -165,7 +203,7 @@ def _select(tags, parents, weights, blocks):
         chars[owner] += len(text)
         in_links[owner] += linked
         if tags[owner] in PARAGRAPHS or tags[owner] not in ("h1", "h2", "h3", "h4", "h5", "h6"):
-            worth = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text))
+            worth = _worth(text, linked)
             up = parents[owner] if tags[owner] in PARAGRAPHS else owner
             for level in range(5):
                 if up < 0:

@@ -155,6 +155,28 @@ PAGE = """<!doctype html><html><head><title>T &amp; t</title><style>p{{}}</style
 <aside><p>Buy now, cheap, while it lasts, only today.</p></aside><footer>&copy; all</footer></body></html>"""
 
 
+LONG = "<p>A long paragraph, with commas, and with words enough to make up a text of its own, as it is said here.</p>" * 3
+
+
+@pytest.mark.parametrize("wrapper", [
+    'class="site has-sidebar"', 'id="content" class="no-sidebar"', 'class="page with-nav"', 'class="layout nav-open"', 'class="related-work"', 'class="story share-enabled"',
+])
+def test_a_class_that_names_what_a_page_has(wrapper):
+    """A part of a class doesn't empty a page, and elements within that are no text still go."""
+    page = f'<html><body><div {wrapper}><div class="main-nav"><p>Home, news, about</p></div>{LONG}<div class="user-comments"><p>First, and well said!</p></div></div></body></html>'
+    assert main_text(page) == " ".join(["A long paragraph, with commas, and with words enough to make up a text of its own, as it is said here."] * 3)
+
+
+@pytest.mark.parametrize("wrapper", ['class="sidebar"', 'class="x menu"', 'class="post-comments"', 'role="complementary"'])
+def test_a_class_that_says_what_an_element_is(wrapper):
+    assert main_text(f"<html><body><div {wrapper}>{LONG}</div></body></html>") == ""
+
+
+def test_formulas_stay():
+    page = f"<html><body><article><p>Energy is <math><mi>E</mi><annotation encoding='application/x-tex'>E_0</annotation></math> here.</p>{LONG}</article></body></html>"
+    assert main_text(page).startswith("Energy is E here. A long")
+
+
 @pytest.mark.parametrize("article, text", [
     ("<article><h1>Head</h1><p><b>One, two.<br><p>Three &lt;b&gt; four\n five,\t six.</article>", "Head One, two. Three <b> four five, six."),
     ("<div class='content'><h2>H</h2><p>A long paragraph, with commas, and words.</p><form><p>Your, mail, here</p><button>Go</button></form><ul><li>x<li>y</ul></div>", "H A long paragraph, with commas, and words. x y"),
