@@ -71,7 +71,7 @@ def op3(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
     model = train(docs, table(spark, sf_dir, "labels").where(remainder != 1))
-    return score_documents(docs, model).select("doc_id", (remainder == 1).alias("held_out"), "score", "predicted")
+    return score_documents(docs, model).select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 @query("op4_hmm_lm")
