@@ -31,12 +31,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keep one row of each group, of the smallest id; rows with equal or null ids are judged by text too."""
     ship_package(spark)
     path = new_run_dir(spark, "numbered")
-    docs.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    row = "_row" + "_" * max(map(len, docs.columns))  # no column of the documents has this name
+    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(path)
     rows = spark.read.parquet(path)
-    groups = minhash_dedup(rows, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
-    stay = groups.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min_by("_row", order).alias("_row"))
-    return rows.join(stay.select("_row"), "_row", "left_semi").select(docs.columns)
+    groups = minhash_dedup(rows, id_col=row).select(F.col("doc_id").alias(row), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(row))
+    stay = groups.join(rows.select(row, "doc_id"), row).groupBy("component_id").agg(F.min_by(row, order).alias(row))
+    return rows.join(stay.select(row), row, "left_semi").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
