@@ -353,14 +353,15 @@ class Training:
 
 
 def _lloyd(sample: DataFrame, books: np.ndarray, iterations: int, step, revive=None) -> Training:
-    """Rounds of k-means. The driver holds the model only."""
+    """Rounds of k-means, in the precision of ``books``. The driver holds the model only."""
+    element = "double" if books.dtype == np.float64 else "float"
     inertia: list[float] = []
     for _ in range(iterations):
-        table = step(books).select("m", "code", "error", F.col("mean").cast("array<float>")).toArrow()
+        table = step(books).select("m", "code", "error", F.col("mean").cast(f"array<{element}>")).toArrow()
         m, code = table["m"].to_numpy(), table["code"].to_numpy()
         inertia.append(float(table["error"].to_numpy().sum()))
         moved = books.copy()
-        moved[m, code] = arrow_to_matrix(table["mean"].combine_chunks(), "float32")
+        moved[m, code] = arrow_to_matrix(table["mean"].combine_chunks(), str(books.dtype))
         dead = np.ones(books.shape[:2], bool)
         dead[m, code] = False
         if revive is not None and dead.any():
@@ -394,7 +395,7 @@ def train(
             idle = np.flatnonzero(dead[j]).tolist()
             rows = [found[k][1] for k in wanted if k[0] == j and k in found and found[k][0] > 0]
             for place, row in zip(idle, rows, strict=False):
-                moved[j, place] = np.asarray(row, "float32")
+                moved[j, place] = row
 
     return _lloyd(sample, starts, iterations, lambda books: lloyd_step(sample, books, vector=vector), revive)
 

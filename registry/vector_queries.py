@@ -383,23 +383,23 @@ def trained(spark, sf, m):
     return Q.train(D.corpus(spark, sf), means, iterations=ROUNDS)
 
 
-def flat_codes(books):
-    """``(m, code, d, x)`` of a code-book table, rounded."""
-    flat = books.select(F.col("m").cast("bigint").alias("m"), F.col("code").cast("bigint").alias("code"), F.posexplode("subvector").alias("d", "x"))
-    return flat.withColumn("d", F.col("d").cast("bigint")).withColumn("x", F.round(F.col("x").cast("double"), 4))
+def flat_codes(spark, books):
+    """``(m, code, d, x)`` of code books, rounded; the model is as large as its parameters make it."""
+    m, code, d = (a.ravel() for a in Q.np.indices(books.shape))
+    return spark.createDataFrame(Q.pa.table({"m": m, "code": code, "d": d, "x": books.astype("float64").ravel()})).withColumn("x", F.round("x", 6))
 
 
-SQL_CODES = f"SELECT m, code, unnest(range(len(v))) AS d, round(unnest(v), 4) AS x FROM k{ROUNDS}"
+SQL_CODES = f"SELECT m, code, unnest(range(len(v))) AS d, round(unnest(v), 6) AS x FROM k{ROUNDS}"
 
 
 @query("ivf_train", f"{WITH}, {sql_rounds(*SQL_WHOLE)} {SQL_CODES}")
 def ivf_train(spark, sf):
-    return flat_codes(Q.codebook_table(spark, trained(spark, sf, 1).books))
+    return flat_codes(spark, trained(spark, sf, 1).books)
 
 
 @query("pq_train", f"{WITH}, {sql_rounds(*SQL_SLICES)} {SQL_CODES}")
 def pq_train(spark, sf):
-    return flat_codes(Q.codebook_table(spark, trained(spark, sf, PQ_M).books))
+    return flat_codes(spark, trained(spark, sf, PQ_M).books)
 
 
 @query("train_inertia", f"{WITH}, {sql_rounds(*SQL_WHOLE)}, i AS (" + " UNION ALL ".join(
@@ -463,14 +463,14 @@ SQL_GROUP_POINTS = (
 )
 
 
-@query("tree_train", f"{WITH}, {SQL_GROUPS}, {sql_rounds(*SQL_GROUP_POINTS)} SELECT code, unnest(range(len(v))) AS d, round(unnest(v), 4) AS x FROM k{ROUNDS}")
+@query("tree_train", f"{WITH}, {SQL_GROUPS}, {sql_rounds(*SQL_GROUP_POINTS)} SELECT code, unnest(range(len(v))) AS d, round(unnest(v), 6) AS x FROM k{ROUNDS}")
 def tree_train(spark, sf):
     """The cells of all groups trained in the same passes, each by the rows of its own group."""
     model = grouped_model(spark, sf, "l2", 1)
     rows = D.vectors(spark, sf).select("id", "embedding")
     grouped = Q.to_cells(rows, Q.Quantiser(model.leaders, "l2"), vector="embedding").withColumnRenamed("cell", "grp")
     books = Q.train_groups(grouped, model.centroids, model.starts, iterations=ROUNDS).books
-    return flat_codes(Q.codebook_table(spark, books)).drop("m")
+    return flat_codes(spark, books).drop("m")
 
 
 # --------------------------------------------------------------------------- hydration
