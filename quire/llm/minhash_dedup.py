@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from quire.llm.components import components
 from quire.llm.hashing import mix, prefix, rolling, word_hashes
+from quire.llm.memory import tidy
 from quire.session import new_run_dir
 
 BANDS, ROWS = 40, 5
@@ -99,7 +100,7 @@ def sketches(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFra
             )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
-    return rows.mapInArrow(sketch, "doc_id long, n_shingles long, node long, registers binary")
+    return rows.mapInArrow(tidy(sketch), "doc_id long, n_shingles long, node long, registers binary")
 
 
 def filled(own: np.ndarray) -> np.ndarray:
@@ -209,7 +210,7 @@ def _with_sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, width: int,
                     columns.insert(2, [node] * len(some))
                     yield pa.record_batch([*(pa.array(x, pa.int64()) for x in columns), pa.array([own.astype("<u8").tobytes()] * len(some), pa.binary())], names=["group", "part", "node", "root", "main", "members"])
 
-    return lists.join(rows, "doc_id").select("node", "groups", "text").mapInArrow(sets, SETS)
+    return lists.join(rows, "doc_id").select("node", "groups", "text").mapInArrow(tidy(sets), SETS)
 
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:

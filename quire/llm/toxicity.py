@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.hashing import BASE, mix
+from quire.llm.memory import tidy
 from quire.session import broadcast_limit, new_run_dir
 
 WORD = re.compile(r"\w+")
@@ -196,7 +197,7 @@ def _counts(labelled: DataFrame) -> DataFrame:
 
     path = new_run_dir(spark, "counts")
     coded = labelled.select("text", F.expr("toxic + IF(held, 2, 0)").alias("code"))
-    sent = coded.mapInArrow(bigrams, "bucket long, code int, before binary, after binary, times binary")
+    sent = coded.mapInArrow(tidy(bigrams), "bucket long, code int, before binary, after binary, times binary")
     sent.groupBy("bucket").applyInArrow(merge, "model int, pair long, before long, word long, ordinary long, toxic long, follows0 long, follows1 long").write.parquet(path)
     return spark.read.parquet(path)
 
@@ -309,7 +310,7 @@ def _measure(docs: DataFrame, model: Model, text_col: str, finish: Callable, sch
                 for part in _pieces(batch, column):
                     yield finish(part, differences(texts_of(part, hashes), find))
 
-        return docs.mapInArrow(run, schema)
+        return docs.mapInArrow(tidy(run), schema)
 
     path = new_run_dir(spark, "blocks")
 
