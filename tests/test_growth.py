@@ -45,3 +45,20 @@ def test_embed_gives_the_vectors_of_one_call_at_a_time(spark):
 
     assert _batches_of(made, docs) == [64, 64, 64, 8]
     assert [(r["id"], r["embedding"]) for r in made(docs).collect()] == [(i, [float(i)]) for i in range(200)]
+
+
+def test_snapshot_is_written_without_a_shuffle_of_its_own(spark, tmp_path, monkeypatch):
+    docs = spark.range(1, 57).selectExpr("id AS doc_id", "concat('some words ', id) AS text", "'en' AS lang", "'web' AS source")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = derive.works(spark, str(tmp_path))
+    before = spark.conf.get(derive.OPEN_FILES)
+
+    def refused(*_):
+        raise AssertionError("whole works are shuffled")
+
+    monkeypatch.setattr(type(rows), "repartitionByRange", refused)
+    monkeypatch.setattr(type(rows), "repartition", refused)
+    derive._write_snapshot(spark, str(tmp_path), f"{tmp_path}/snapshot")
+    assert spark.conf.get(derive.OPEN_FILES) == before
+    lines = spark.read.text(f"{tmp_path}/snapshot").where("value LIKE '{%}'")
+    assert lines.count() == 56 and lines.select("updated_date").distinct().count() == 28
