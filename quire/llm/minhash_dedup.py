@@ -141,21 +141,28 @@ def _few_pairs(members: DataFrame, percent: int) -> DataFrame:
     return a.join(b, "band").where(near).select("a", "b")
 
 
-def _by_size(members: DataFrame, percent: int) -> DataFrame:
-    """Each member twice, in classes of size whose bounds lie half a class apart.
+def _sized(members: DataFrame, percent: int) -> DataFrame:
+    """Each member with its two classes of size, whose bounds lie half a class apart.
 
     Nodes of a class are near enough in size to be similar, and a group that spreads over some classes of one
     kind is held together by those of the other.
     """
     place = F.log(F.col("n")) / float(np.log(100 / percent))
-    return members.withColumn("size", F.explode(F.array((F.floor(place) * 2).cast("long"), (F.floor(place + 0.5) * 2 + 1).cast("long"))))
+    return members.withColumns({"low": (F.floor(place) * 2).cast("long"), "high": (F.floor(place + 0.5) * 2 + 1).cast("long")})
+
+
+def _by_size(sized: DataFrame) -> DataFrame:
+    """Each row twice, once in either class; rows that share both are best summed up before."""
+    return sized.withColumn("size", F.explode(F.array("low", "high"))).drop("low", "high")
 
 
 def _first_pairs(large: DataFrame, percent: int) -> DataFrame:
     """For each node of a large band its pairs with the centres of the band that most nodes share: two at most."""
-    centres = _by_size(large, percent).groupBy("band", "size").agg(F.min_by("node", F.struct(F.xxhash64("node"), "node")).alias("centre"))
+    least = F.min_by("node", F.struct(F.xxhash64("node"), "node"))
+    centres = _sized(large, percent).groupBy("band", "low", "high").agg(least.alias("node"))
+    centres = _by_size(centres).groupBy("band", "size").agg(least.alias("centre"))
     own = large.groupBy("node").agg(F.max_by(F.struct("band", "n"), F.struct("members", "band")).alias("x")).select("node", "x.band", "x.n")
-    pairs = _by_size(own, percent).join(centres, ["band", "size"]).where("node <> centre")
+    pairs = _by_size(_sized(own, percent)).join(centres, ["band", "size"]).where("node <> centre")
     return pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
 
 
@@ -166,7 +173,8 @@ def _next_pairs(large: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """
     named = large.join(roots, "node", "left").select("band", "node", "n", F.coalesce("root", "node").alias("root"))
     node = F.min_by("node", F.struct(F.xxhash64("node"), "node")).alias("node")
-    parts = _by_size(named, percent).groupBy("band", "size", "root").agg(node, F.count("*").alias("held"))
+    parts = _sized(named, percent).groupBy("band", "low", "high", "root").agg(node, F.count("*").alias("held"))
+    parts = _by_size(parts).groupBy("band", "size", "root").agg(node, F.sum("held").alias("held"))
     main = parts.groupBy("band", "size").agg(F.max_by(F.struct("root", "node"), F.struct("held", "root")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
     pairs = parts.join(main, ["band", "size"]).where("root <> main.root")
     return pairs.select(F.least("node", "main.node").alias("a"), F.greatest("node", "main.node").alias("b")).distinct()
