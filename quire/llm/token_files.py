@@ -34,6 +34,9 @@ OTHER_SPACE = re.compile(r"[^\S\n]")
 WHITE = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 UNEVEN = rf"^ | $| {WHITE}|{WHITE} "
 PIECE = re.compile(r"(?<=\S)(?= \S)")
+#: Latin letters, and marks after them that begin no contraction: two pieces by the rule of byte-level vocabularies.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+PLAIN = re.compile(rf"([{LETTERS}]+)([!-&(-/:-@\[-`{{-~]*)")
 
 _coders: dict[str, Coder] = {}
 
@@ -46,9 +49,14 @@ class Coder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, splitter = self.tokenizer.model, self.tokenizer.pre_tokenizer
+        self.letters: dict[int, str] | None = None
+        if (isinstance(splitter, pre_tokenizers.ByteLevel) and splitter.use_regex and not splitter.add_prefix_space
+                and isinstance(self.model, models.BPE) and self.tokenizer.normalizer is None):
+            self.letters = {ord(x): splitter.pre_tokenize_str(x)[0][0] for x in [" ", *re.findall(f"[{LETTERS}]", "".join(map(chr, range(0x250))))]}
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.feed = self._direct("\n")
@@ -58,23 +66,27 @@ class Coder:
         self.older: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
 
     def _learn(self, known: dict, wanted: set, before: str) -> None:
-        """Add the ids of the pieces not yet known, each coded as it is after ``before``.
+        """Add the ids of the wanted pieces, none of them known yet, each coded as it is after ``before``.
 
         A line feed between two other characters is a piece of its own, and so separates others.
         """
-        new = wanted - known.keys()
-        old = self.older[before]
-        for x in new & old.keys():
-            known[x] = old[x]
-        new -= known.keys()
+        old, new = self.older[before], []
+        for x in wanted:
+            if x in old:
+                known[x] = old[x]
+            else:
+                new.append(x)
         lines = {x: x.split("\n") for x in new if "\n" in x}
         lines = {x: parts for x, parts in lines.items() if all(parts) and not OTHER_SPACE.search(x)}
         if lines:
-            self._learn(self.pieces, {p for parts in lines.values() for p in parts[not not before:]}, "")
-            self._learn(known, {parts[0] for parts in lines.values()}, before)
+            self._learn(self.pieces, {p for parts in lines.values() for p in parts[not not before:] if p not in self.pieces}, "")
+            self._learn(known, {parts[0] for parts in lines.values() if parts[0] not in known}, before)
             for x, parts in lines.items():
                 known[x] = known[parts[0]] + b"".join(self.feed + self.pieces[p] for p in parts[1:])
-            new -= known.keys()
+            new = [x for x in new if x not in known]
+        if self.letters:
+            self._learn_plain(known, new, before)
+            new = [x for x in new if x not in known]
         plain = [x for x in new if x]
         if SPACE.search(" ".join(plain).replace(" ", "")):
             plain = [x for x in plain if not SPACE.search(x)]
@@ -89,8 +101,38 @@ class Coder:
             for piece, end in zip(some, ends, strict=True):
                 known[piece] = raw[at * width:end * width]
                 at = end + 1
-        for x in new - known.keys():
-            known[x] = self._direct(before + x)
+        for x in new:
+            if x not in known:
+                known[x] = self._direct(before + x)
+
+    def _learn_plain(self, known: dict, new: list[str], before: str) -> None:
+        """Of ``new``, learn those of letters and marks: the letters need no splitting, the vocabulary's model codes them as they are."""
+        plain = [(x, *m.groups()) for x in new if (m := PLAIN.fullmatch(x))]
+        if not plain:
+            return
+        self._learn(self.pieces, {marks for _, _, marks in plain if marks and marks not in self.pieces}, "")
+        words = list({word for _, word, _ in plain if word not in known})
+        first = before.translate(self.letters)
+        ids: list[int] = []
+        ends = [0]
+        for word in words:
+            ids += [x.id for x in self.model.tokenize(first + (word if word.isascii() else word.translate(self.letters)))]
+            ends.append(len(ids))
+        raw, width = np.array(ids, dtype=self.dtype).tobytes(), int(self.dtype[2])
+        coded = {word: raw[a * width:b * width] for word, a, b in zip(words, ends, ends[1:], strict=False)}
+        for x, word, marks in plain:
+            code = coded.get(word) or known[word]
+            known[x] = code + self.pieces[marks] if marks else code
+
+    def _codes(self, known: dict, pieces: list[str], before: str) -> list[bytes]:
+        """The ids of each piece as it is coded after ``before``; ``known`` gets those it lacks."""
+        codes = list(map(known.get, pieces))
+        new = [i for i, code in enumerate(codes) if code is None]
+        if new:
+            self._learn(known, {pieces[i] for i in new}, before)
+            for i in new:
+                codes[i] = known[pieces[i]]
+        return codes
 
     def _direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
@@ -116,9 +158,7 @@ class Coder:
     def _uneven(self, text: str) -> bytes:
         if any(x in text for x in self.special):
             return self._direct(text)
-        pieces = PIECE.split(text)
-        self._learn(self.pieces, set(pieces), "")
-        return b"".join(map(self.pieces.__getitem__, pieces))
+        return b"".join(self._codes(self.pieces, PIECE.split(text), ""))
 
     def _even(self, texts: pa.Array) -> list[bytes]:
         """Texts in which every space begins a piece: all words are numbered, each different one is coded once."""
@@ -127,16 +167,15 @@ class Coder:
         words = split.flatten()
         begin = words.take(pa.array(first)).to_pylist()
         coded = words.dictionary_encode()
-        different = coded.dictionary.to_pylist()
-        number = coded.indices.to_numpy().astype(np.int64)
+        number = coded.indices.to_numpy()
         later = np.ones(len(number), dtype=bool)
         later[first] = False
-        used = np.zeros(len(different), dtype=bool)
+        used = np.zeros(len(coded.dictionary), dtype=bool)
         used[number[later]] = True
-        self._learn(self.after, {x for x, u in zip(different, used.tolist(), strict=True) if u}, " ")
-        self._learn(self.pieces, set(begin), "")
+        different = coded.dictionary.filter(pa.array(used)).to_numpy(zero_copy_only=False).tolist()
+        number = (np.cumsum(used) - 1)[number]
         number[first] = len(different) + np.arange(len(begin))
-        codes = [self.after.get(x, b"") for x in different] + [self.pieces[x] for x in begin]
+        codes = self._codes(self.after, different, " ") + self._codes(self.pieces, begin, "")
         sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // int(self.dtype[2])
         starts = np.cumsum(sizes) - sizes
         ids = np.frombuffer(b"".join(codes), dtype=self.dtype)
@@ -174,7 +213,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int =
         size = 0
         for batch in batches:
             at = 0
-            sizes = np.asarray(batch.column(1).cast(pa.large_binary()).to_pandas().map(len)) if len(batch) else []
+            sizes = pc.binary_length(batch.column(1)).to_numpy()
             while at < len(batch):
                 stop, some = at, 0
                 while stop < len(batch) and (stop == at or some < CHUNK_BYTES):

@@ -129,6 +129,34 @@ LIBRARY = Tokenizer.from_file(TOKENIZER)
 CODER = Coder(TOKENIZER)
 
 
+class Unwalked(dict):
+    def keys(self):
+        raise AssertionError("all that is remembered was walked through")
+
+    __iter__ = items = values = keys
+
+
+def test_coder_looks_up_what_it_remembers():
+    """Work grows with the pieces of a chunk, not with those remembered from all chunks before."""
+    import pyarrow as pa
+
+    coder = Coder(TOKENIZER)
+    coder.pieces, coder.after, coder.older = Unwalked(), Unwalked(), {"": Unwalked(old=b"\1\2"), " ": Unwalked()}
+    texts = ["one two one", "two one\ntwo.\nthree four", "a  b", "", "four", "old"]
+    want = [np.array(x.ids, "<u2").tobytes() for x in LIBRARY.encode_batch(texts, add_special_tokens=False)]
+    want[-1] = b"\1\2"
+    assert coder.encode(pa.array(texts, pa.string())) == want == coder.encode(pa.array(texts, pa.string()))
+
+
+@pytest.mark.parametrize("end", ["", ".", "***", "$$$", "_", "'", "'s", ",'", "9", "ª", "×", "ɐ", "\u0301", "\n", ".\nTzüch,"])
+def test_coder_splits_marks_from_words(end):
+    import pyarrow as pa
+
+    texts = [f"{w}{end} {w}{end} x {w}" for w in ("word", "Éçtion", "Tzüchß", "ǅɏ", "don't", "l'été", "x1", "µ")]
+    want = [np.array(x.ids, "<u2").tobytes() for x in LIBRARY.encode_batch(texts, add_special_tokens=False)]
+    assert Coder(TOKENIZER).encode(pa.array(texts, pa.string())) == want
+
+
 def test_token_files(spark, tmp_path):
     rows = [(i * 7 % 31 - 5, t, "x") for i, t in enumerate(ODD)] + [(None, "first", "x"), (100, None, "x"), (100, "twice", "x"), (2**62, "far " * 9000, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string").repartition(4)
