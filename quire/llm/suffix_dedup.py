@@ -12,6 +12,7 @@ dealt at all.
 from __future__ import annotations
 
 import struct
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from quire.llm import blocks as B
-from quire.llm.hashing import BYTE, mix, prefix, rolling
+from quire.llm.hashing import BYTE, between, mix, prefix, rolling
 
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start:long,length:long>>"
 #: Bytes handled at a time; a longer text is cut into overlapping pieces.
@@ -61,7 +62,10 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
             yield pieces
 
     def scan(pieces):
-        """Start, minimizer place, minimizer and context hash of every window within a piece."""
+        """Runs of neighbouring windows within a piece that have the same minimizer and context.
+
+        First window, number of windows, place of the minimizer, minimizer and context hash of each run.
+        """
         data = np.frombuffer(b"".join(p[2] for p in pieces), dtype=np.uint8)
         ends = np.cumsum([len(p[2]) for p in pieces])
         sums = prefix(BYTE[data])
@@ -75,82 +79,73 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
         at = np.flatnonzero(np.repeat(ends, np.diff(np.concatenate(([0], ends))))[: len(least)] - np.arange(len(least)) >= length)
         least = least[at]
         place = (least & POSITION).astype(np.int64)
-        around = rolling(sums, context)
-        seen = around[np.where(place - at > half, place - (context - k), place)]
-        return data, at, place, least >> np.uint64(24), seen
-
-    def turns(at, *others):
-        """Where a new run begins: a start that doesn't follow the last one, or another value."""
+        late = place - at > half
         new = np.ones(len(at), dtype=bool)
-        new[1:] = at[1:] != at[:-1] + 1
-        for x in others:
-            new[1:] |= x[1:] != x[:-1]
-        return np.flatnonzero(new)
-
-    def block_contexts(payload):
-        """The block's distinct context hashes, and which of them two of its documents share."""
-        _, texts = B.unpack(payload)
-        found, owners = [], []
+        new[1:] = (at[1:] != at[:-1] + 1) | (place[1:] != place[:-1]) | (late[1:] != late[:-1])
+        first = np.flatnonzero(new)
+        place = place[first]
+        around = np.where(late[first], place - (context - k), place)
+        return at[first], np.diff(np.append(first, len(at))), place, least[first] >> np.uint64(24), between(sums, around, around + context)
+
+    def block_runs(texts):
+        """The runs of all texts: owner, first window and number of them, place of the minimizer in the text, minimizer, context hash."""
+        found = []
         for pieces in chunks(texts):
-            _, at, _, _, seen = scan(pieces)
-            first = turns(at, seen)
-            found.append(seen[first])
+            at, count, place, least, seen = scan(pieces)
             begin = np.cumsum([0] + [len(p[2]) for p in pieces])
-            owners.append(np.array([p[0] for p in pieces])[np.searchsorted(begin, at[first], "right") - 1])
+            piece = np.searchsorted(begin, at, "right") - 1
+            shift = (np.array([p[1] for p in pieces]) - begin[:-1])[piece]
+            own = np.array([p[0] for p in pieces])[piece]
+            found.append((*(x.astype(np.int32) for x in (own, at + shift, count, place + shift)), least, seen))
         if not found:
-            return np.zeros(0, np.uint64), np.zeros(0, bool)
-        found, owners = np.concatenate(found), np.concatenate(owners)
-        order = np.argsort(found, kind="stable")
-        found, owners = found[order], owners[order]
-        start = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
-        return found[start], np.maximum.reduceat(owners, start) != np.minimum.reduceat(owners, start)
+            return *(np.zeros(0, np.int32) for _ in range(4)), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        return tuple(map(np.concatenate, zip(*found, strict=True)))
 
-    def block_pieces(payload, answers):
-        """Of each bucket the distinct pieces with the smallest id of each; and every run.
+    def block_contexts(own, seen):
+        """The block's distinct context hashes, which of them two of its documents share, and the number of each run's."""
+        if not len(seen):
+            return np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, np.int64)
+        order = np.argsort(seen)
+        found, owners = seen[order], own[order]
+        new = np.concatenate(([True], found[1:] != found[:-1]))
+        start = np.flatnonzero(new)
+        number = np.empty(len(seen), dtype=np.int64)
+        number[order] = np.cumsum(new) - 1
+        return found[start], np.maximum.reduceat(owners, start) != np.minimum.reduceat(owners, start), number
 
-        A run is (owner, first byte in its text, number of starts, bucket, number of the piece).
-        """
+    def block_pieces(payload, answers):
+        """The block's ids and texts, its distinct pieces and its runs of windows that share a minimizer."""
         ids, texts = B.unpack(payload)
-        ids = [NO_ID if x is None else x for x in ids]
-        values, shared = block_contexts(payload)
-        repeated = values[shared | B.flags(values, context_bits, answers)]
-        buckets: dict[int, dict[bytes, list]] = {}
-        runs = []
-        if not len(repeated):
-            return ids, texts, buckets, runs
-        for pieces in chunks(texts):
-            data, at, place, least, seen = scan(pieces)
-            first = turns(at, seen)
-            near = repeated[np.minimum(np.searchsorted(repeated, seen[first]), len(repeated) - 1)] == seen[first]
-            keep = np.repeat(near, np.diff(np.append(first, len(at))))
-            at, place, least = at[keep], place[keep], least[keep]
-            if not len(at):
-                continue
-            first = turns(at, place)
-            count = np.diff(np.append(first, len(at)))
-            start = at[first]
-            begin = np.cumsum([0] + [len(p[2]) for p in pieces])
-            piece = np.searchsorted(begin, start, "right") - 1
-            own = np.array([p[0] for p in pieces])[piece]
-            local = start - begin[piece] + np.array([p[1] for p in pieces])[piece]
-            where = (mix(least[first]) >> np.uint64(64 - piece_bits)).tolist()
-            raw = data.tobytes()
-            for s, n, o, x, b in zip(start.tolist(), count.tolist(), own.tolist(), local.tolist(), where, strict=True):
-                known = buckets.setdefault(b, {})
-                entry = known.setdefault(raw[s:s + n + length - 1], [len(known), ids[o]])
-                if ids[o] < entry[1]:
-                    entry[1] = ids[o]
-                runs.append((o, x, n, b, entry))
-        return ids, texts, buckets, runs
+        keys = np.array([NO_ID if x is None else x for x in ids], dtype=np.int64)
+        own, start, count, place, least, seen = block_runs(texts)
+        values, shared, number = block_contexts(own, seen)
+        keep = (shared | B.flags(values, context_bits, answers))[number]
+        own, start, count, place, least = (x[keep] for x in (own, start, count, place, least))
+        end = start + count
+        new = np.ones(len(own), dtype=bool)
+        new[1:] = (own[1:] != own[:-1]) | (start[1:] != end[:-1]) | (place[1:] != place[:-1])
+        first = np.flatnonzero(new)
+        own, start, least = own[first], start[first], least[first]
+        count = end[np.append(first[1:], len(end)) - 1] - start if len(first) else count
+        cut_out = [texts[o][a:e] for o, a, e in zip(own.tolist(), start.tolist(), (start + count + length - 1).tolist(), strict=True)]
+        pieces = list(dict.fromkeys(cut_out))
+        number = dict(zip(pieces, range(len(pieces)), strict=True))
+        number = np.fromiter(map(number.__getitem__, cut_out), np.int64, len(cut_out))
+        smallest = np.full(len(pieces), np.iinfo(np.int64).max)
+        np.minimum.at(smallest, number, keys[own])
+        buckets = np.zeros(len(pieces), dtype=np.int64)
+        buckets[number] = mix(least) >> np.uint64(64 - piece_bits)
+        return ids, texts, Pieces(pieces, smallest, buckets), Runs(own, start, count, number, keys[own] > smallest[number])
 
     def send(batches):
         for batch in batches:
             for row in batch.select(["block", "payload", "answers"]).to_pylist():
-                buckets = block_pieces(row["payload"], row["answers"])[2]
+                own = block_pieces(row["payload"], row["answers"])[2]
+                buckets, groups = own.by_bucket()
                 if buckets:
-                    sent = [_message(x) for x in buckets.values()]
+                    sent = [_message([own.pieces[i] for i in group.tolist()], own.smallest[group]) for group in groups]
                     yield pa.record_batch(
-                        [pa.array(list(buckets), pa.int64()), pa.array([row["block"]] * len(sent), pa.int64()), pa.array(sent, pa.binary())],
+                        [pa.array(buckets, pa.int64()), pa.array([row["block"]] * len(sent), pa.int64()), pa.array(sent, pa.binary())],
                         names=["bucket", "block", "sent"],
                     )
 
@@ -165,16 +160,45 @@ def suffix_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text
             for row in batch.select(["payload", "contexts", "answers"]).to_pylist():
                 yield _kept(*block_pieces(row["payload"], row["contexts"]), row["answers"] or [], length)
 
-    asked = B.ask(blocks, lambda payload: block_contexts(payload)[0], context_bits, "u4")
+    def contexts(payload):
+        own, *_, seen = block_runs(B.unpack(payload)[1])
+        return block_contexts(own, seen)[0]
+
+    asked = B.ask(blocks, contexts, context_bits, "u4")
     near = B.with_answers(blocks, B.answer_repeats(asked, "u4"))
     replies = near.select("block", "payload", "answers").mapInArrow(send, B.ASK_SCHEMA).groupBy("bucket").applyInArrow(reply, B.REPLY_SCHEMA)
     both = B.with_answers(near.withColumnRenamed("answers", "contexts"), replies)
     return both.select("payload", "contexts", "answers").mapInArrow(cut, OUT)
 
 
-def _message(pieces: dict[bytes, list]) -> bytes:
+class Pieces(NamedTuple):
+    """Distinct pieces of a block, the smallest id that has each, and the bucket of each."""
+
+    pieces: list[bytes]
+    smallest: np.ndarray
+    buckets: np.ndarray
+
+    def by_bucket(self) -> tuple[list[int], list[np.ndarray]]:
+        """The buckets, and the numbers of the pieces of each."""
+        order = np.argsort(self.buckets, kind="stable")
+        ranked = self.buckets[order]
+        first = np.flatnonzero(np.diff(ranked, prepend=-1))
+        return ranked[first].tolist(), np.split(order, first[1:]) if len(first) else []
+
+
+class Runs(NamedTuple):
+    """Of each run the owner, its first window, the number of windows, the number of its piece, and whether a smaller id of the block has that."""
+
+    own: np.ndarray
+    start: np.ndarray
+    count: np.ndarray
+    piece: np.ndarray
+    later: np.ndarray
+
+
+def _message(pieces: list[bytes], smallest: np.ndarray) -> bytes:
     sizes = np.array([len(x) for x in pieces], dtype="<u4").tobytes()
-    ids = np.array([x[1] for x in pieces.values()], dtype="<i8").tobytes()
+    ids = smallest.astype("<i8").tobytes()
     return zstandard.ZstdCompressor(level=1).compress(struct.pack("<I", len(pieces)) + sizes + ids + b"".join(pieces))
 
 
@@ -242,43 +266,50 @@ def previous_smaller(text: np.ndarray, suffix: np.ndarray, ids: np.ndarray, leng
     return out
 
 
-def _kept(ids, texts, buckets, runs, answers, length):
+def _kept(ids: list, texts: list[bytes], own: Pieces, runs: Runs, answers: list, length: int) -> pa.RecordBatch:
     told = {x["bucket"]: x["answer"] for x in answers}
-    bits = {}
-    for b, known in buckets.items():
-        counts = [len(x) - length + 1 for x in known]
-        at = np.concatenate(([0], np.cumsum(counts)))
-        if b in told:
-            bits[b] = (np.unpackbits(np.frombuffer(told[b], np.uint8), count=int(at[-1])), at.tolist())
-    marked: dict[int, list] = {}
-    for owner, start, n, b, (number, least) in runs:
-        if ids[owner] > least:
-            marked.setdefault(owner, []).append((start, start + n - 1 + length))
-        elif b in bits:
-            own, at = bits[b]
-            hits = np.flatnonzero(own[at[number]:at[number] + n])
-            if len(hits) == n:
-                marked.setdefault(owner, []).append((start, start + n - 1 + length))
-            else:
-                marked.setdefault(owner, []).extend((start + h, start + h + length) for h in hits.tolist())
-    removed, kept, spans = [], [], []
-    for owner, text in enumerate(texts):
-        merged: list[list[int]] = []
-        for a, e in sorted(marked.get(owner, [])):
-            if merged and a <= merged[-1][1]:
-                merged[-1][1] = max(merged[-1][1], e)
-            else:
-                merged.append([a, e])
-        left, at = [], 0
-        for a, e in merged:
-            left.append(text[at:a])
-            at = e
-        left.append(text[at:])
-        removed.append(sum(e - a for a, e in merged))
-        spans.append([{"start": a, "length": e - a} for a, e in merged])
-        kept.append(b"".join(left))
+    counts = np.fromiter(map(len, own.pieces), np.int64, len(own.pieces)) - (length - 1)
+    # a bit for each window of each piece, those of a bucket side by side
+    begin = np.zeros(len(counts), dtype=np.int64)
+    bits, at = [np.zeros(0, np.uint8)], 0
+    for b, group in zip(*own.by_bucket(), strict=True):
+        ends = np.cumsum(counts[group])
+        begin[group] = at + ends - counts[group]
+        n = int(ends[-1])
+        bits.append(np.unpackbits(np.frombuffer(told[b], np.uint8), count=n) if b in told else np.zeros(n, np.uint8))
+        at += n
+    bit = np.concatenate(bits)
+    total = np.concatenate(([0], np.cumsum(bit, dtype=np.int64)))
+    hits = (total[begin + counts] - total[begin])[runs.piece]
+    # the texts stand in one line, with a place between each two
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    place = np.cumsum(sizes + 1) - (sizes + 1)
+    start = place[runs.own] + runs.start
+    whole = runs.later | (hits == runs.count)
+    part = np.flatnonzero(~whole & (hits > 0))
+    n = runs.count[part]
+    inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    hit = bit[np.repeat(begin[runs.piece[part]], n) + inside] > 0
+    alone = (np.repeat(start[part], n) + inside)[hit]
+    begins = np.concatenate((start[whole], alone))
+    order = np.argsort(begins)
+    begins, ends = begins[order], np.maximum.accumulate(np.concatenate(((start + runs.count)[whole] - 1, alone))[order]) + length
+    new = np.ones(len(begins), dtype=bool)
+    new[1:] = begins[1:] > ends[:-1]
+    first, last = begins[new], ends[np.append(new[1:], True)] if len(ends) else ends
+    owner = np.searchsorted(place, first, "right") - 1
+    first, last = first - place[owner], last - place[owner]
+    n_spans = np.bincount(owner, minlength=len(texts))
+    removed = np.bincount(owner, last - first, len(texts)).astype(np.int64)
+    offsets = np.concatenate(([0], np.cumsum(n_spans)))
+    kept = list(texts)
+    froms, tos = first.tolist(), last.tolist()
+    for i in np.flatnonzero(n_spans).tolist():
+        a, b = offsets[i], offsets[i + 1]
+        kept[i] = b"".join([texts[i][x:y] for x, y in zip([0, *tos[a:b]], [*froms[a:b], len(texts[i])], strict=True)])
+    spans = pa.StructArray.from_arrays([pa.array(first, pa.int64()), pa.array(last - first, pa.int64())], names=["start", "length"])
     return pa.record_batch(
-        [pa.array([None if x == NO_ID else x for x in ids], pa.int64()), pa.array([len(x) for x in texts], pa.int64()), pa.array(removed, pa.int64()),
-         pa.array([len(x) for x in spans], pa.int64()), pa.array(kept, pa.binary()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())])))],
+        [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()),
+         pa.array(kept, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spans)],
         names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "spans"],
     )

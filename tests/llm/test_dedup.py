@@ -99,6 +99,26 @@ def test_suffixes(spark, length):
     assert sorted(got, key=str) == sorted(removed_bytes(rows, length), key=str)
 
 
+def test_suffixes_scan_each_block_once_a_pass(spark, monkeypatch, tmp_path):
+    """Each of the three passes hashes a block's bytes once."""
+    from quire.llm import suffix_dedup as module
+
+    plain, log = module.prefix, str(tmp_path / "scans")
+
+    def counted(values):
+        with open(log, "a") as out:
+            out.write("scan\n")
+        return plain(values)
+
+    monkeypatch.setattr(module, "prefix", counted)
+    same = "the same passage of well over fifty bytes stands in both of these"
+    docs = spark.createDataFrame([(1, same), (2, f"x {same} y"), (3, "short")], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_removed, bytes(r.kept)) for r in suffix_dedup(docs).collect()}
+    assert got == {1: (0, same.encode()), 2: (len(same), b"x  y"), 3: (0, b"short")}
+    with open(log) as lines:
+        assert len(list(lines)) == 3
+
+
 def test_earlier_takes_the_smaller_id():
     def message(pieces, ids):
         return np.array([len(p) for p in pieces]), np.array(ids), b"".join(pieces)
