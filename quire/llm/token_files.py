@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -65,7 +65,7 @@ class Coder:
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, dict[str, bytes]] = {"": {}, " ": {}}
 
-    def _learn(self, known: dict, wanted: set, before: str) -> None:
+    def _learn(self, known: dict, wanted: Iterable[str], before: str) -> None:
         """Add the ids of the wanted pieces, none of them known yet, each coded as it is after ``before``.
 
         A line feed between two other characters is a piece of its own, and so separates others.
@@ -83,10 +83,9 @@ class Coder:
             self._learn(known, {parts[0] for parts in lines.values() if parts[0] not in known}, before)
             for x, parts in lines.items():
                 known[x] = known[parts[0]] + b"".join(self.feed + self.pieces[p] for p in parts[1:])
-            new = [x for x in new if x not in known]
+            new = [x for x in new if x not in lines]
         if self.letters:
-            self._learn_plain(known, new, before)
-            new = [x for x in new if x not in known]
+            new = self._learn_plain(known, new, before)
         plain = [x for x in new if x]
         if SPACE.search(" ".join(plain).replace(" ", "")):
             plain = [x for x in plain if not SPACE.search(x)]
@@ -105,13 +104,29 @@ class Coder:
             if x not in known:
                 known[x] = self._direct(before + x)
 
-    def _learn_plain(self, known: dict, new: list[str], before: str) -> None:
-        """Of ``new``, learn those of letters and marks: the letters need no splitting, the vocabulary's model codes them as they are."""
-        plain = [(x, *m.groups()) for x in new if (m := PLAIN.fullmatch(x))]
+    def _learn_plain(self, known: dict, new: list[str], before: str) -> list[str]:
+        """Of ``new``, learn those of letters and marks: the letters need no splitting, the vocabulary's model codes them as they are.
+
+        The others are returned.
+        """
+        plain: list[str] = []
+        bare: list[str] = []
+        after: list[str] = []
+        others: list[str] = []
+        words: dict[str, bytes] = {}
+        for x in new:
+            if m := PLAIN.fullmatch(x):
+                word, marks = m.groups()
+                plain.append(x)
+                bare.append(word)
+                after.append(marks)
+                if not marks or word not in known:
+                    words[word] = b""
+            else:
+                others.append(x)
         if not plain:
-            return
-        self._learn(self.pieces, {marks for _, _, marks in plain if marks and marks not in self.pieces}, "")
-        words = list({word for _, word, _ in plain if word not in known})
+            return others
+        self._learn(self.pieces, {marks for marks in after if marks and marks not in self.pieces}, "")
         first = before.translate(self.letters)
         ids: list[int] = []
         ends = [0]
@@ -119,17 +134,18 @@ class Coder:
             ids += [x.id for x in self.model.tokenize(first + (word if word.isascii() else word.translate(self.letters)))]
             ends.append(len(ids))
         raw, width = np.array(ids, dtype=self.dtype).tobytes(), int(self.dtype[2])
-        coded = {word: raw[a * width:b * width] for word, a, b in zip(words, ends, ends[1:], strict=False)}
-        for x, word, marks in plain:
-            code = coded.get(word) or known[word]
-            known[x] = code + self.pieces[marks] if marks else code
+        for word, a, b in zip(words, ends, ends[1:], strict=False):
+            words[word] = raw[a * width:b * width]
+        for x, word, marks in zip(plain, bare, after, strict=True):
+            known[x] = (words.get(word) or known[word]) + self.pieces[marks] if marks else words[word]
+        return others
 
     def _codes(self, known: dict, pieces: list[str], before: str) -> list[bytes]:
         """The ids of each piece as it is coded after ``before``; ``known`` gets those it lacks."""
         codes = list(map(known.get, pieces))
         new = [i for i, code in enumerate(codes) if code is None]
         if new:
-            self._learn(known, {pieces[i] for i in new}, before)
+            self._learn(known, [pieces[i] for i in new], before)
             for i in new:
                 codes[i] = known[pieces[i]]
         return codes
