@@ -42,6 +42,12 @@ LENDERS = np.concatenate([np.arange(REGISTERS)[:, None], LENDERS], axis=1)
 UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
+def _written(df: DataFrame) -> DataFrame:
+    path = new_run_dir(df.sparkSession, "near")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shingles(text: bytes, width: int) -> np.ndarray:
     """Sorted hashes of the distinct runs of ``width`` words; of all words if there are fewer."""
     words = text.translate(UPPER).split()
@@ -250,13 +256,14 @@ def _rest(large: DataFrame, roots: DataFrame, nodes: DataFrame, docs: DataFrame,
     """The links between nodes of large bands that are still apart, all compared on full sets.
 
     Bands that share nodes make a cluster, whose nodes are compared chunk against chunk; only links
-    leave a task. Nodes of the cluster's commonest component aren't compared with each other.
+    leave a task. Nodes of the cluster's commonest component aren't compared with each other. The nodes
+    that are apart, and their clusters, are written once each, as the driver keeps all stages of a plan.
     """
     apart = large.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
     mixed = apart.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("hub")).where("low <> high").select("band", "hub")
-    apart = apart.join(mixed, "band").select("node", "root", "hub").distinct()
+    apart = _written(apart.join(mixed, "band").select("node", "root", "hub").distinct())
     clusters = components(apart.select(F.col("node").alias("a"), F.col("hub").alias("b"))).select("node", F.col("root").alias("group"))
-    members = apart.select("node", "root").distinct().join(clusters, "node")
+    members = _written(apart.select("node", "root").distinct().join(clusters, "node"))
     main = members.groupBy("group", "root").count().groupBy("group").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.ceil(F.sum("count") / CHUNK).cast("long").alias("chunks"))
     own = F.pmod(F.xxhash64("node"), F.col("chunks"))
     pairs = members.join(main, "group").withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0L, chunks - 1)")))
@@ -299,31 +306,28 @@ def minhash_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: st
     rows with a null doc_id (their component_id is null, they are kept). Rows that share a
     doc_id are one component, of which each row with the smallest id is kept. Other columns are ignored.
     """
-    spark = docs.sparkSession
-
-    def written(df):
-        path = new_run_dir(spark, "near")
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    every = written(sketches(docs, width, id_col, text_col))
+    every = _written(sketches(docs, width, id_col, text_col))
     full = every.where("node IS NOT NULL AND doc_id IS NOT NULL")
-    nodes = written(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")))
+    nodes = _written(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")))
     bands = _bands(nodes)
     counts = bands.groupBy("band").agg(F.count("*").alias("members")).where("members > 1")
-    shared = written(bands.join(counts, "band"))
+    shared = _written(bands.join(counts, "band"))
     same_id = full.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("doc_id")
     same_id = full.join(same_id, "doc_id").join(full.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").select("a", F.col("node").alias("b"))
     few, large = shared.where(f"members <= {FEW}").drop("members"), shared.where(f"members > {FEW}")
 
     def confirmed(pairs):
-        return written(_confirmed(written(_similar(written(pairs), nodes, percent)), nodes, docs, percent, width, id_col, text_col))
+        return _written(_confirmed(_written(_similar(_written(pairs), nodes, percent)), nodes, docs, percent, width, id_col, text_col))
+
+    roots = components(confirmed(_few_pairs(few, percent).unionByName(_first_pairs(large, percent)).distinct()).unionByName(same_id))
+
+    def joined(links):
+        """The components when these links are added."""
+        return components(roots.toDF("a", "b").unionByName(links))
 
-    links = confirmed(_few_pairs(few, percent).unionByName(_first_pairs(large, percent)).distinct()).unionByName(same_id)
     if large.limit(1).count():
-        links = links.unionByName(confirmed(_next_pairs(large, components(links), percent)))
-        links = links.unionByName(written(_rest(large, components(links), nodes, docs, percent, width, id_col, text_col)))
-    roots = components(links)
+        roots = joined(confirmed(_next_pairs(large, roots, percent)))
+        roots = joined(_written(_rest(large, roots, nodes, docs, percent, width, id_col, text_col)))
     named = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     first = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     found = named.join(first, "root").select("node", "component_id")

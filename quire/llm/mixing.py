@@ -90,11 +90,17 @@ def select_mix(
     within it. At most ``max_epochs`` epochs are given. Rounding leaves less than one token
     for each node unspent. Weight 0 gives nothing. An empty table gives none.
     """
-    path = new_run_dir(docs.sparkSession, "sizes")
-    sizes(docs, domain).write.parquet(path)
-    own = docs.sparkSession.read.parquet(path)
+    spark = docs.sparkSession
+
+    def written(df, label):
+        path = new_run_dir(spark, label)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    own = written(sizes(docs, domain), "sizes")
     leaves = own.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
-    quotas = budgets(leaves, weights, total, share, max_epochs).join(leaves, list(LEVELS)).where("quota > 0")
+    # a row for each leaf, written as two branches of the plan ask for it
+    quotas = written(budgets(leaves, weights, total, share, max_epochs).join(leaves, list(LEVELS)).where("quota > 0"), "quotas")
     epochs = quotas.withColumn("epoch", F.explode(F.expr("sequence(0L, (quota - 1) div tokens)"))).withColumn("left", F.expr("quota - epoch * tokens"))
     # epochs that a leaf gives in full need no order
     columns = ["doc_id", *LEVELS, "epoch", "n_tokens", "n_taken"]

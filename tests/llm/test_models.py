@@ -2,6 +2,7 @@
 
 import math
 import random
+import uuid
 import zlib
 from collections import Counter
 
@@ -202,6 +203,36 @@ def test_components(spark):
     assert components(links.limit(0)).count() == 0
 
 
+def jobs_of(spark, run):
+    """What ``run`` returns, and the Spark jobs it took."""
+    context, group = spark.sparkContext, uuid.uuid4().hex
+    context.setJobGroup(group, group)
+    try:
+        return run(), len(context.statusTracker().getJobIdsForGroup(group))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_components_few_links_at_once(spark, monkeypatch):
+    """Links that no task joins by itself are joined over the rounds; ids may be negative."""
+    monkeypatch.setattr("quire.llm.components.AT_ONCE", 5)
+    rnd = random.Random(8)
+    ids = [rnd.randrange(-(1 << 62), 1 << 62) for _ in range(300)]
+    pairs = [*zip(ids[:149], ids[1:150], strict=True), *((ids[150], x) for x in ids[151:260]), *((rnd.choice(ids[150:160]), x) for x in ids[200:260:9])]
+    want = {x: r for x, r in local_roots(pairs).items()}
+    got = [(r.node, r.root) for r in components(spark.createDataFrame(pairs * 2, "a long, b long").repartition(6)).collect()]
+    assert len(got) == len(set(got)) and dict(got) == want
+
+
+def test_rounds_of_components_take_few_jobs(spark):
+    """The driver keeps every stage and task of a plan for a while, so a round must not shuffle more often than it has to."""
+    pairs = [(i, i + 1) for i in range(100, 160)] + [(0, x) for x in range(500, 900)] + [(x, x + 400) for x in range(500, 900, 7)]
+    links = spark.createDataFrame(pairs, "a long, b long").repartition(7)
+    got, jobs = jobs_of(spark, lambda: {r.node: r.root for r in components(links).collect()})
+    assert got == local_roots(pairs)
+    assert jobs <= 24
+
+
 def vectors(seed=0):
     rng = np.random.default_rng(seed)
     rows = []
