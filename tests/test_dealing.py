@@ -61,3 +61,45 @@ def test_work_is_dealt_to_many_tasks(spark, monkeypatch, way):
     assert "RepartitionByExpression" in dealt._jdf.queryExecution().optimizedPlan().toString()
     assert "lane" in dealt._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1].split("\n")[0]
     assert found(dealt) == want
+
+
+@pytest.mark.parametrize("way", ["vectors", "codes", "residual ip", "residual l2", "given probes"])
+def test_many_queries_stream_candidates_without_copies(spark, monkeypatch, way):
+    """Lanes of queries read the candidates where they were written: nothing of these is shuffled or broadcast."""
+    rng = np.random.default_rng(7)
+    x = rng.integers(-9, 10, size=(600, 8)).astype("float32")
+    rows = spark.createDataFrame([(f"w{i}", v.tolist()) for i, v in enumerate(x)], "id string, embedding array<float>").repartition(3)
+    asked = [(i % 500, v.tolist()) for i, v in enumerate(x)]  # a hundred come twice under one number
+    queries = spark.createDataFrame(asked, "query_id long, vector array<float>")
+    metric = "l2" if way == "residual l2" else "ip"
+    books = None if way in ("vectors", "given probes") else x[:16].reshape(16, 2, 4).transpose(1, 0, 2).copy()
+    model = Quantiser(x[:3].copy(), metric, books, way.startswith("residual"))
+    placed = Q.to_cells(rows, model, vector="embedding").drop("cell_score")
+    placed = placed if books is None else Q.encode(placed, model)
+    probes = neighbours.probe_cells(queries, model, 2) if way == "given probes" else None
+
+    def hits():
+        return neighbours.cell_neighbours(queries, placed, model, 4, 2, probes)
+
+    def found(df):
+        return sorted((r["query_id"], r["rank"], round(r["score"], 5), r["id"]) for r in df.collect())
+
+    want = found(hits())
+    for module in (blocks, neighbours):
+        monkeypatch.setattr(module, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(blocks, "TASK_PAIRS", 1)
+    monkeypatch.setattr(neighbours, "HIT_BYTES", 1)
+    streamed = hits()
+    plan = streamed._jdf.queryExecution().optimizedPlan().toString()
+    physical = streamed._jdf.queryExecution().sparkPlan().toString()
+    assert "CartesianProduct" in physical and "BroadcastHashJoin" not in physical and "SortMergeJoin" not in physical
+    candidates = plan.split("Join Inner")[1].split("LogicalRDD")[0]
+    assert "MapInArrow" not in candidates and "RepartitionByExpression" not in candidates  # read as they were written
+    assert found(streamed) == want
+
+
+def test_lane_queries():
+    assert blocks.lane_queries(3, 10) == 512
+    assert blocks.lane_queries(4, 4, 10**5) == 16 * 2048**2 // 10**5  # few candidates: more queries
+    assert blocks.lane_queries(10, 10, 10) == 8 * 2048 // 10  # as far as a lane's blocks stay few
+    assert blocks.lane_queries(32, 65_536) == 0  # a lane would skip nearly all it reads
