@@ -320,6 +320,24 @@ def test_several_records_of_one_id(spark):
     assert len(rows) == 2 and rows[1]["title"] == "new" and rows[2]["title"] is None
 
 
+def test_hits_are_searched_once(spark):
+    """The works of hits are found without a second search for their ids."""
+    from quire.operators.hydrate import works_in
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def searched(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    ids = spark.createDataFrame([(f"W{i % 7}",) for i in range(20)] + [(None,)], "short_id string")
+    works = spark.createDataFrame([(f"https://x/W{i}", "d") for i in (2, 3, 3, 9)], "id string, doi string")
+    found = works_in(works, ids.mapInArrow(searched, ids.schema)).collect()
+    assert sorted(r["id"] for r in found) == ["https://x/W2", "https://x/W3", "https://x/W3"]
+    assert seen.value == 21
+
+
 def test_streams(spark, snap, tmp_path):
     out, index = tmp_path / "out", str(tmp_path / "index")
 
