@@ -157,8 +157,9 @@ def _sized(members: DataFrame, percent: int) -> DataFrame:
     return members.withColumns({"low": (F.floor(place) * 2).cast("long"), "high": (F.floor(place + 0.5) * 2 + 1).cast("long")})
 
 
-def _by_size(sized: DataFrame) -> DataFrame:
-    """Each row twice, once in either class; rows that share both are best summed up before."""
+def _by_size(sized: DataFrame, percent: int | None = None) -> DataFrame:
+    """Each row twice, once in either class; rows that share both are best summed up before. With ``percent`` the classes are named first."""
+    sized = sized if percent is None else _sized(sized, percent)
     return sized.withColumn("size", F.explode(F.array("low", "high"))).drop("low", "high")
 
 
